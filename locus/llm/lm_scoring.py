@@ -4,9 +4,10 @@ The model predicts a text's bytes and one closing NUL, bit by bit: 255 binary tr
 a Krichevsky-Trofimov estimator, mixed over all context depths 0..4 with weight 1/2 at every node. Trees are learnt from the
 training texts and then frozen, so the counts can be summed in any order, by partition and then over partitions.
 
-To bound the tree whatever the corpus, the byte at distance d in a context is known by its class: the most frequent bytes of the
-training texts have a class each, all others share one (64, 32, 16, 8 classes at distances 1..4). A context is thus one of 2^18
-slots, and the model at most 2^26 numbers of 2 bytes.
+Bytes in a context are known by class: the 127 most frequent bytes of the training texts have a class each, all others share one.
+Every count of the corpus enters the tree; the tables that are broadcast hold its MOST_CONTEXTS most frequent contexts (with ties
+at the edge left out), at most 64 MB whatever the corpus. A context that is not among them is predicted as at its longest suffix
+that is.
 
 The base score needs the training count of every token of every text. Texts are dealt into buckets; a bucket sends each of its
 distinct tokens once, with its training count; the totals of tokens that more than one bucket knows come back to the buckets.
@@ -31,9 +32,13 @@ from .common import arrow_batches, materialize, text_buffer
 from .language_id import holds_out
 
 #: Bits of the class at distance 1, 2, ... in a context.
-CLASS_BITS = (6, 5, 4, 3)
+CLASS_BITS = (7, 7, 7, 7)
 DEPTH = len(CLASS_BITS)
 SLOT_BITS = sum(CLASS_BITS)
+#: Contexts in the broadcast tables, each with 256 numbers of 2 bytes.
+MOST_CONTEXTS = 1 << 17
+#: Distinct contexts with a byte that the driver builds the tree of.
+MOST_KEYS = 4_000_000
 #: Bytes of text in a bucket of the base score, about.
 BUCKET_BYTES = 24 << 20
 CHUNK = 4 << 20
@@ -51,7 +56,7 @@ def classes(frequency: np.ndarray) -> np.ndarray:
     """DEPTH x 256: the class of a byte at each distance; more frequent bytes come first, ties by value."""
     rank = np.empty(256, np.int64)
     rank[np.lexsort((np.arange(256), -frequency))] = np.arange(256)
-    return np.array([np.minimum(rank, (1 << b) - 1) for b in CLASS_BITS], dtype=np.uint32)
+    return np.array([np.minimum(rank, (1 << b) - 1) for b in CLASS_BITS], dtype=np.uint8)
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,10 +74,10 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def keys(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray) -> np.ndarray:
     """slot << 8 | byte for each byte to predict of each text."""
     text, at = padded(data, offsets)
-    slot = np.zeros(len(text), np.uint32)
+    key = np.zeros(len(text), np.uint64)
     for d in range(DEPTH):
-        slot[d + 1 :] = (slot[d + 1 :] << np.uint32(CLASS_BITS[d])) | cls[d][text[: len(text) - d - 1]]
-    return ((slot << np.uint32(8)) | text)[at]
+        key[d + 1 :] = (key[d + 1 :] << np.uint64(CLASS_BITS[d])) | cls[d][text[: len(text) - d - 1]]
+    return ((key << np.uint64(8)) | text)[at]
 
 
 def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -108,7 +113,7 @@ def _count(cls: np.ndarray):
             merge()
             k, n = found[0]
             for a in range(0, len(k), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000].astype(np.int32)), pa.array(n[a : a + 100_000].astype(np.int64))], names=["key", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000].astype(np.int64)), pa.array(n[a : a + 100_000].astype(np.int64))], names=["key", "n"])
 
     return run
 
@@ -156,12 +161,11 @@ def climb(slots: np.ndarray, z: np.ndarray, o: np.ndarray, top: int) -> list[tup
     return levels[::-1]
 
 
-def weigh(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The frozen model of sorted keys and their counts: the row of each slot, and log10 probabilities by row and byte.
+def weigh(key: np.ndarray, n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """The frozen model of sorted keys and their counts: for each depth a table from (context one shorter, class) to context, the
+    rows of the contexts, and log10 probabilities by row and byte. The last context of a depth stands for none.
 
-    There is a row for each known context of every depth, in which its unknown child predicts 1/2; a slot never seen has the row
-    of its longest known context. The tree is worked off by the nearest class, one branch at a time, twice: up to the root, then
-    down from it.
+    The tree is worked off by the nearest class, one branch at a time, twice: up to the root, then down from it.
     """
     nearest = key >> (8 + BELOW[1])
     cuts = np.flatnonzero(np.append(True, nearest[1:] != nearest[:-1]))
@@ -172,26 +176,44 @@ def weigh(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return climb(slots, *bit_counts(slots, k, m), 1)
 
     z, o, below = np.zeros((1, 255)), np.zeros((1, 255)), np.zeros((1, 255))
+    totals = []
     for k, m in branches:
-        _, bz, bo, bw, _ = branch(k, m)[0]
+        levels = branch(k, m)
+        totals += [lz[:, 0] + lo[:, 0] for _, lz, lo, _, _ in levels]  # prefix 1: all bytes
+        _, bz, bo, bw, _ = levels[0]
         z, o, below = z + bz, o + bo, below + bw
+    totals = np.sort(np.concatenate(totals))
+    enough = totals[-MOST_CONTEXTS] if len(totals) >= MOST_CONTEXTS else 0
     kt = log_kt(z, o)
     w = np.exp(kt - np.logaddexp(kt, below))
-    root_base, root_left = w * (o + 0.5) / (z + o + 1.0), 1 - w
-    tables, row_of, rows = [_byte_logs(root_base + root_left * 0.5)], np.zeros(1 << SLOT_BITS, np.int32), 1
+    estimate = (o + 0.5) / (z + o + 1.0)
+    root_base, root_left = w * estimate, 1 - w
+    logs = [[] for _ in range(DEPTH + 1)]
+    contexts = [[] for _ in range(DEPTH + 1)]
+    logs[0], contexts[0] = [_byte_logs(estimate)], [np.zeros(1, np.int64)]
     for k, m in branches:
         base, left, ids = root_base, root_left, np.zeros(1, np.int64)
         for d, (own, z, o, _, w) in enumerate(branch(k, m), start=1):
-            up = np.searchsorted(ids, own >> (BELOW[d - 1] - BELOW[d]))
-            up = up if d > 1 else np.zeros(len(own), np.int64)
-            base, left = base[up] + left[up] * w * (o + 0.5) / (z + o + 1.0), left[up] * (1 - w)
-            tables.append(_byte_logs(base + left * 0.5))
-            width = 1 << BELOW[d]
-            at = (own[:, None] << BELOW[d]) + np.arange(width) if width * len(own) <= 1 << SLOT_BITS else None
-            row_of[at] = (rows + np.arange(len(own), dtype=np.int32))[:, None]
-            rows += len(own)
-            ids = own
-    return row_of, np.concatenate(tables)
+            kept = z[:, 0] + o[:, 0] > enough
+            own, z, o, w = own[kept], z[kept], o[kept], w[kept]
+            up = np.searchsorted(ids, own >> (BELOW[d - 1] - BELOW[d])) if d > 1 else np.zeros(len(own), np.int64)
+            estimate = (o + 0.5) / (z + o + 1.0)
+            base, left = base[up], left[up]
+            logs[d].append(_byte_logs(base + left * estimate))  # where it is the longest known context
+            contexts[d].append(own)
+            base, left, ids = base + left * w * estimate, left * (1 - w), own
+    steps, rows, at = [], [np.zeros(2, np.int32)], 1
+    ids = contexts[0][0]
+    for d in range(1, DEPTH + 1):
+        own = np.concatenate(contexts[d])
+        step = np.full((len(ids) + 1, 1 << CLASS_BITS[d - 1]), len(own), np.int32)
+        parent = np.searchsorted(ids, own >> CLASS_BITS[d - 1]) if d > 1 else np.zeros(len(own), np.int64)
+        step[parent, own & ((1 << CLASS_BITS[d - 1]) - 1)] = np.arange(len(own))
+        steps.append(step)
+        rows.append(np.append(at + np.arange(len(own)), 0).astype(np.int32))
+        at += len(own)
+        ids = own
+    return steps, rows, np.concatenate([x for part in logs for x in part])
 
 
 def _byte_logs(one: np.ndarray) -> np.ndarray:
@@ -209,31 +231,46 @@ class Model:
 
     def __init__(self, cls: np.ndarray, key: np.ndarray, n: np.ndarray):
         self.cls = cls
-        order = np.argsort(key)
-        if len(key):
-            self.row_of, self.logs = weigh(key[order].astype(np.int64), n[order].astype(np.float64))
-        else:
-            self.row_of, self.logs = np.zeros(1 << SLOT_BITS, np.int32), np.full((1, 256), -np.log10(256), np.float16)
+        self.known = len(key) > 0
+        if self.known:
+            order = np.argsort(key)
+            self.steps, self.rows, self.logs = weigh(key[order].astype(np.int64), n[order].astype(np.float64))
 
     def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(offsets) - 1)
+        """log10 probability of each text with its closing NUL."""
+        lengths = np.diff(offsets) + 1
+        if not self.known:
+            return lengths * -np.log10(256)
+        out = np.zeros(len(lengths))
         for a, b in chunks(offsets):
-            k = keys(data, offsets[a : b + 1], self.cls)
-            logs = self.logs[self.row_of[k >> np.uint32(8)], k & np.uint32(255)].astype(np.float64)
-            lengths = np.diff(offsets[a : b + 1]) + 1
-            out[a:b] = np.add.reduceat(logs, np.cumsum(lengths) - lengths)
+            text, at = padded(data, offsets[a : b + 1])
+            row = np.zeros(len(at), np.int32)
+            node = np.zeros(len(at), np.int32)
+            for d in range(DEPTH):
+                node = self.steps[d][node, self.cls[d][text[at - d - 1]]]
+                found = self.rows[d + 1][node]
+                row = np.where(found > 0, found, row)
+            logs = self.logs[row, text[at]].astype(np.float64)
+            out[a:b] = np.add.reduceat(logs, np.cumsum(lengths[a:b]) - lengths[a:b])
         return out
 
 
 def fit(training: DataFrame) -> Model:
-    """The model of texts (column text). Collected: at most 256 and 2^26 rows of sums (in text, some 100,000)."""
+    """The model of texts (column text). Collected: 256 rows of sums, and one per context of 4 classes with its byte: some
+    100,000 in text, checked to be at most MOST_KEYS."""
     arrow_batches(training.sparkSession)
     texts = training.select("text")
     frequency = texts.mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).toArrow()
     by_byte = np.zeros(256, np.int64)
     by_byte[frequency["byte"].to_numpy()] = frequency["n"].to_numpy()
     cls = classes(by_byte)
-    sums = texts.mapInArrow(_count(cls), "key int, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    sums = materialize(texts.mapInArrow(_count(cls), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
+    if (found := sums.count()) > MOST_KEYS:
+        # The rarest are counted with the far bytes of their context as the class of rare bytes: no count is dropped.
+        cut = sums.approxQuantile("n", [1 - MOST_KEYS / found], 0.001)[0]
+        suffix = F.when(F.col("n") > cut, F.col("key")).otherwise(F.col("key") - F.pmod("key", F.lit(1 << (8 + BELOW[2]))) + F.pmod("key", F.lit(256)) + (((1 << BELOW[2]) - 1) << 8))
+        sums = sums.groupBy(suffix.alias("key")).agg(F.sum("n").alias("n"))
+    sums = sums.toArrow()
     return Model(cls, sums["key"].to_numpy(), sums["n"].to_numpy())
 
 
