@@ -40,8 +40,8 @@ MOST_CONTEXTS = 1 << 17
 #: Distinct contexts with a byte that the driver builds the tree of.
 MOST_KEYS = 4_000_000
 #: Bytes of text in a bucket of the base score, about.
-BUCKET_BYTES = 24 << 20
-CHUNK = 4 << 20
+BUCKET_BYTES = 10 << 20
+CHUNK = 1 << 20
 
 
 def byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,8 +287,9 @@ def bucket_counts(table: pa.Table) -> pa.Table:
     """(bucket, token, n): each distinct token of a bucket's texts once, as a 64-bit hash, with its count in training texts."""
     known: Counter = Counter()
     other: set[bytes] = set()
-    for text, train in zip(table["text"].to_pylist(), table["training"].to_pylist(), strict=True):
-        words = _tokens((text or "").encode("utf-8", "surrogatepass"))
+    data, offsets = text_buffer(table["text"].combine_chunks())
+    for a, b, train in zip(offsets[:-1], offsets[1:], table["training"].to_pylist(), strict=True):
+        words = _tokens(data[a:b].tobytes())
         if train:
             known.update(words)
         else:
@@ -305,9 +306,10 @@ def _score_bucket(model):
         if not docs.num_rows:
             return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
         counts: Counter = Counter()
-        texts = [(t or "").encode("utf-8", "surrogatepass") for t in docs["text"].to_pylist()]
+        data, offsets = text_buffer(docs["text"].combine_chunks())
+        texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]  # views
         for text, train in zip(texts, docs["training"].to_pylist(), strict=True):
-            words = _tokens(text)
+            words = _tokens(text.tobytes())
             if train:
                 counts.update(words)
             else:
@@ -328,9 +330,8 @@ def _score_bucket(model):
         lengths = np.zeros(len(texts), np.int64)
         sums, knows = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            at = np.fromiter(map(place.__getitem__, _tokens(text)), dtype=np.int64)
+            at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
             lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        data, offsets = text_buffer(docs["text"].combine_chunks() if not isinstance(docs["text"], pa.Array) else docs["text"])
         return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": model.value.score(data, offsets)})
 
     return run
