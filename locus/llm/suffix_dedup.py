@@ -29,9 +29,9 @@ from .common import arrow_batches, group_starts, materialize, per_group, spread,
 ANCHOR = 32
 #: Bytes from the anchor on, or up to its end, that two runs must share to be compared.
 SIDE = 200
-PIECE = 1 << 20
+PIECE = 1 << 19
 #: Runs of a bucket that are compared in one block.
-MOST_ROWS = 4096
+MOST_ROWS = 24_576
 _rng = np.random.default_rng(97)
 TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 ODD = _rng.integers(0, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
@@ -43,11 +43,15 @@ def _join(a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
 
 def string_hashes(data: np.ndarray, *lengths: int) -> list[np.ndarray]:
     """For each length, hashes of the strings of that many bytes at every position."""
-    powers, h, k, level = {1: TABLE[data]}, TABLE[data], 1, 0
-    while 2 * k <= max(lengths):
+    needed = np.bitwise_or.reduce(lengths)
+    powers, h, k, level = {}, TABLE[data], 1, 0
+    while True:
+        if needed & k:
+            powers[k] = h
+        if 2 * k > max(lengths):
+            break
         h = _join(h[: max(0, len(h) - k)], h[k:], level)
         k, level = 2 * k, level + 1
-        powers[k] = h
     out = []
     for length in lengths:
         n = max(0, len(data) - length + 1)
@@ -144,36 +148,50 @@ def _cut_out(length: int):
 def _resolve(length: int):
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         """Of whole blocks: spans s..e of starts whose suffix is equal to another one in its block, for runs that stand alone.
-        Of buckets with several blocks: each distinct suffix and run of a block (cross), to be compared across blocks."""
-        groups = group_starts(table["bucket"].to_numpy(), table["block"].to_numpy())
+        Of buckets with several blocks also each distinct suffix (cross), to be compared across
+        blocks: undecided are those that occur once in their block."""
+        bucket = table["bucket"].to_numpy()
+        groups = group_starts(bucket, table["block"].to_numpy())
         group = np.repeat(np.arange(len(groups) - 1), np.diff(groups))
         blocks, alone, first = table["blocks"].to_numpy(), table["alone"].to_numpy(zero_copy_only=False), table["s"].to_numpy()
         ids, rids = table["doc_id"].combine_chunks(), table["rid"].to_numpy()
         data, offsets = text_buffer(table["string"].combine_chunks())
-        ends = offsets[groups]
         g = 0
         while g < len(groups) - 1:  # some whole blocks at a time
-            to = max(g + 1, int(np.searchsorted(ends, ends[g] + PIECE, side="right")) - 1)
-            a, b = int(groups[g]), int(groups[to])
+            to = max(g + 1, int(np.searchsorted(offsets[groups], offsets[groups[g]] + 4 * PIECE, side="right")) - 1)
+            parts, lo = [], int(groups[g])
+            while lo < groups[to]:  # hashed by smaller parts: only hash, row and place of a suffix are kept
+                hi = min(int(groups[to]), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PIECE, side="right")) - 1))
+                start, of = valid_starts(int(offsets[lo]), int(offsets[hi]), offsets[lo : hi + 1], length)
+                row = of + lo
+                h = string_hashes(data[offsets[lo] : offsets[hi]], length)[0][start]
+                parts.append((h, row.astype(np.int32), (start + int(offsets[lo]) - offsets[row] + first[row]).astype(np.int32)))
+                lo = hi
             g = to
-            start, of = valid_starts(int(offsets[a]), int(offsets[b]), offsets[a : b + 1], length)
-            row = of + a
-            h = string_hashes(data[offsets[a] : offsets[b]], length)[0][start]
-            begin = start + int(offsets[a]) - offsets[row] + first[row]
-            own = h ^ (group[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            _, inverse, count = np.unique(own, return_inverse=True, return_counts=True)
-            several = blocks[row] > 1
-            pick = ~several & (count[inverse] > 1) & alone[row]
+            h, row, begin = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            parts = None
+            order = np.argsort(h ^ (group[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+            ranked = h[order]
+            cut = group_starts(ranked, group[row[order]])
+            single = np.zeros(len(h), bool)
+            single[order[cut[:-1][np.diff(cut) == 1]]] = True
+            pick = ~single & alone[row]
+            # Across blocks: each distinct suffix of a block once.
+            one = np.zeros(len(h), bool)
+            one[order[cut[:-1]]] = True
+            cross = np.flatnonzero(one & (blocks[row] > 1))
             at, where = begin[pick], row[pick]
             # Neighbouring starts of a run make a span.
             cut = group_starts(where, at - np.arange(len(at)))
             s, e, rows = at[cut[:-1]], at[cut[1:] - 1] if len(at) else at, where[cut[:-1]]
-            cross = np.flatnonzero(several)
             rows = np.concatenate([rows, row[cross]])
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(rows)), pa.array(rids[rows]), pa.array(np.concatenate([s, begin[cross]]).astype(np.int32)), pa.array(np.concatenate([e, begin[cross]]).astype(np.int32)), pa.array(np.concatenate([np.zeros(len(s), np.uint64), h[cross]]).view(np.int64)), pa.array(np.concatenate([np.zeros(len(s), bool), np.ones(len(cross), bool)])), pa.array(alone[rows])],
-                names=["doc_id", "rid", "s", "e", "suffix", "cross", "alone"],
-            )
+            undecided = np.concatenate([np.zeros(len(s), bool), alone[row[cross]] & single[cross]])
+            for x in range(0, len(rows), 100_000):
+                y = slice(x, x + 100_000)
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(rows[y])), pa.array(rids[rows[y]]), pa.array(np.concatenate([s, begin[cross]])[y].astype(np.int32)), pa.array(np.concatenate([e, begin[cross]])[y].astype(np.int32)), pa.array(bucket[rows[y]]), pa.array(np.concatenate([np.zeros(len(s), np.uint64), h[cross]]).view(np.int64)[y]), pa.array(np.arange(len(rows))[y] >= len(s)), pa.array(undecided[y])],
+                    names=["doc_id", "rid", "s", "e", "bucket", "suffix", "cross", "undecided"],
+                )
 
     return work
 
@@ -228,7 +246,7 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
     runs = materialize(rows.where(F.octet_length("text") >= length).select("doc_id", "rid", "text").mapInArrow(_runs(length), f"doc_id {kind}, rid long, s int, e int, anchor long, whole long, right long, left long"))
     # Runs by content; an anchor that occurs once has no equal.
-    often = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    often = materialize(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))
     shared = materialize(runs.join(often, "anchor"))
     strings = materialize(shared.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "s", "e", "doc_id")).alias("one"), F.first("right").alias("right"), F.first("left").alias("left")))
     full = shared.join(strings.where("n > 1").select("anchor", "whole"), ["anchor", "whole"]).select("doc_id", "rid", "s", "e")
@@ -244,10 +262,10 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     cut = once.join(per_text, (once["rid"] == per_text["rid"]) & once["doc_id"].eqNullSafe(per_text["of"])).select("text", "runs")
     cut = cut.mapInArrow(_cut_out(length), f"doc_id {kind}, rid long, s int, alone boolean, bucket long, block int, blocks int, string binary")
     keys = ["bucket", "block"]
-    found = materialize(spread(cut, *keys).mapInArrow(per_group(keys, _resolve(length)), f"doc_id {kind}, rid long, s int, e int, suffix long, cross boolean, alone boolean"))
-    across = found.where("cross").groupBy("suffix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("suffix")
+    found = materialize(spread(cut, *keys).mapInArrow(per_group(keys, _resolve(length)), f"doc_id {kind}, rid long, s int, e int, bucket long, suffix long, cross boolean, undecided boolean"))
+    across = found.where("cross").groupBy("bucket", "suffix").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", "suffix")
     whole = found.where("not cross").select("doc_id", "rid", "s", "e")
-    crossed = found.where("cross and alone").join(across, "suffix").select("doc_id", "rid", "s", "e")
+    crossed = found.where("cross and undecided").join(across, ["bucket", "suffix"]).select("doc_id", "rid", "s", "e")
     return full.unionByName(whole).unionByName(crossed)
 
 
