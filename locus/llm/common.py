@@ -126,7 +126,7 @@ def split_hot(df: DataFrame, keys: list[str], salt: str, most: int) -> DataFrame
     (i, j) with every part j: each pair of rows meets in exactly one block. Adds part, block_lo, block_hi. Sizes are counted
     with partial aggregation; the join is on the group, where AQE splits hot keys.
     """
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows")).where(F.col("group_rows") > 1)
+    sizes = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_rows")).where(F.col("group_rows") > 1))
     parts = F.ceil(F.col("group_rows") / most).cast("int")
     joined = df.join(sizes, keys).withColumn("parts", parts)
     part = F.pmod(F.col(salt), F.col("parts")).cast("int")
