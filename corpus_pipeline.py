@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.bpe import encode_decode
-from locus.llm.common import materialize, shared_dir
+from locus.llm.common import materialize
 from locus.llm.language_id import identify
 from locus.llm.mixing import mix_documents
-from locus.llm.simhash import near_duplicates
+from locus.llm.simhash import fingerprints, near_duplicates
 from locus.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,17 +28,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays: the one with the smallest doc_id; of repeated rows one stays. Rows
-    without doc_id stay only where their whole group has none, one for each text."""
+    without doc_id stay only where their whole group has none, one for each fingerprint."""
     labelled = near_duplicates(docs, words=5)
     kept = materialize(labelled.where("doc_id = component_id").select("doc_id").distinct())
     first = docs.join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null")
-    if nameless.limit(1).count():
-        prints = near_duplicates(nameless.withColumn("doc_id", F.lit(None).cast("long")), words=5)
-        raise_free = prints.where("component_id is null").limit(1).count()
-        if raise_free:
-            first = first.unionByName(nameless.select(*COLUMNS).dropDuplicates(["text"]))
-    return first
+    alone = labelled.where("component_id is null").select("fingerprint").distinct()
+    nameless = docs.where("doc_id is null").select(*COLUMNS)
+    prints = fingerprints(nameless.select(F.col("text").alias("doc_id"), "text"), words=5).toDF("of", "fp").distinct()
+    prints = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(alone, "fingerprint", "left_semi")
+    stay = prints.groupBy("fp").agg(F.min("of").alias("of"))
+    return first.unionByName(nameless.join(stay, F.col("text") == F.col("of"), "left_semi").dropDuplicates(["text"]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
