@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_batches
+from .common import arrow_batches, restored
 
 #: White space as Unicode defines it; the regex module's own class differs in a few control characters.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -131,7 +131,7 @@ def replay(pieces: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.
 
 def _encode(vocabulary, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = vocabulary.value
+        voc = restored(Vocabulary, vocabulary.value)
         find = split_pattern(pattern).findall
         held: list[tuple] = []
         pieces: dict[str, int] = {}
@@ -188,7 +188,7 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
 
     spark = docs.sparkSession
     arrow_batches(spark)
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))))
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(read_ranks(ranks_path or public_tokenizers.path("byte_bpe_50k.tiktoken"))).__dict__)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded binary" * with_ids
     return docs.select("doc_id", "text").mapInArrow(_encode(vocabulary, pattern or public_tokenizers.PATTERN, with_ids), schema)

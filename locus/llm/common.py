@@ -42,6 +42,13 @@ def arrow_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def restored(kind: type, state: dict):
+    """An object from its attributes. Broadcasts hold plain values, since executors need not have this package."""
+    out = object.__new__(kind)
+    out.__dict__.update(state)
+    return out
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a text column and its n + 1 offsets; null counts as empty."""
     if column.null_count:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialize, text_buffer
+from .common import arrow_batches, materialize, restored, text_buffer
 from .language_id import holds_out
 
 #: Bits of the class at distance 1, 2, ... in a context.
@@ -332,7 +332,7 @@ def _score_bucket(model):
         for i, text in enumerate(texts):
             at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
             lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": model.value.score(data, offsets)})
+        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": restored(Model, model.value).score(data, offsets)})
 
     return run
 
@@ -345,7 +345,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     arrow_batches(spark)
     rows = docs.select("doc_id", "text", "training")
-    model = spark.sparkContext.broadcast(fit(rows.where("training")))
+    model = spark.sparkContext.broadcast(fit(rows.where("training")).__dict__)
     kind = docs.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES), min(12, rows.limit(12).count()))
