@@ -174,3 +174,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, seed: int = 5)
 
 def op5_embedding_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: All pairs, for tables of some thousand vectors; components by recursion.
+OP5_SQL = """
+WITH RECURSIVE ok AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, c.component_id, e.vec_id = c.component_id AS kept FROM embeddings e JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = e.vec_id
+"""

@@ -68,8 +68,9 @@ def mix(sizes: DataFrame, targets: DataFrame, seed: int = 7, most: float = 3.0)
     `sizes` should be cheap to read again (a table). Joins with the sources are null-safe; below 100,000 sources their table is
     broadcast (its rows are counted first), beyond that the join is a shuffle, where AQE splits hot sources.
     """
-    key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
-    rows = sizes.withColumn("h", key).withColumn("bucket", F.shiftrightunsigned("h", 52).cast("int"))
+    # 60 bits of a digest that other engines have too; rows without doc_id share one.
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
+    rows = sizes.withColumn("h", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")).withColumn("bucket", F.shiftright("h", 48).cast("int"))
     bounded = targets.limit(100_001).count() <= 100_000
     hint = F.broadcast if bounded else (lambda x: x)
     rates = materialize(targets.withColumn("rate", F.least(F.lit(float(most)), newton_rate(F.col("target"), F.col("source_size").cast("double")))))
@@ -102,4 +103,21 @@ def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most:
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
     out = mix_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+#: The same rows in DuckDB: water level in closed form, rates as target / source size, the prefix nearest to what is needed.
+OP2_SQL = r"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+  CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15) AS BIGINT) AS h FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, encode(coalesce(source, ''))) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 3.0::DOUBLE AS cap FROM s),
+l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, least(cap, (SELECT arg_min(level, (cap / weight, source IS NULL, source)) FROM l WHERE level * weight <= cap) * weight) AS target FROM l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(least(3.0, target / source_size) + 1e-9) ELSE 0 END AS whole FROM t),
+n AS (SELECT *, greatest(0, target - whole * source_size) AS need FROM r),
+p AS (SELECT d.*, n.source_size, n.target, n.whole, n.need, sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source),
+c AS (SELECT source, min((abs(upto - need), h)) AS best, any_value(need) AS none FROM p GROUP BY source),
+o AS (SELECT p.*, least(3, whole + CASE WHEN need > 0 AND c.best[1] <= c.none AND p.h <= c.best[2] THEN 1 ELSE 0 END) AS k FROM p JOIN c ON p.source IS NOT DISTINCT FROM c.source)
+SELECT doc_id, size, source_size, target, CAST(k * size AS BIGINT) AS taken, CAST(k AS BIGINT) AS copies FROM o
+"""
