@@ -320,3 +320,35 @@ def sitemap(spark, d):
 
 
 SITEMAP = f"WITH p AS (SELECT DISTINCT {HOST} AS host, {HOST} || {_PX} || CASE WHEN contains(url, '?') THEN '?' || regexp_extract(url, '\\?([^#]*)', 1) ELSE '' END AS loc FROM pages) SELECT host, string_agg('<loc>' || loc || '</loc>', '' ORDER BY loc) AS map FROM p GROUP BY host"
+
+
+def page_hours(spark, d):
+    """The week of hours that a page states, and where it was found."""
+    from ..functions.hours import week_column
+
+    found = table(spark, d, "pages").select("page_id", week_column(F.col("html")).alias("found"))
+    return found.select("page_id", F.to_json("found.week").alias("week"), F.coalesce("found.how", F.lit("none")).alias("how"))
+
+
+def page_locations(spark, d):
+    """US addresses stated on pages, structured ones first."""
+    from ..functions.extract import location_rows
+
+    return location_rows(table(spark, d, "pages"), "page_id", "html")
+
+
+def page_links(spark, d):
+    """All links of pages, resolved, with their labels."""
+    from ..functions.extract import link_rows
+
+    return link_rows(table(spark, d, "pages"), "page_id", "url", "html")
+
+
+def page_state(spark, d):
+    """Pages that say a place has closed for good, or that are parked."""
+    from ..functions.extract import closed_for_good, parked
+
+    return table(spark, d, "pages").select("page_id", closed_for_good(F.col("html")).alias("closed"), parked(F.col("html")).alias("parked"))
+
+
+PAGE_STATE = r"SELECT page_id, regexp_matches(lower(substr(html, 1, 6000)), '(permanently closed|closed permanently|closed for good|closed our doors|have closed|has closed|last day of (service|business))') AS closed, regexp_matches(lower(substr(html, 1, 4000)), 'domain (is|may be) for sale|buy this domain|account (has been )?suspended|parked (free|domain)|default web page|under construction') AS parked FROM pages"
