@@ -2,15 +2,17 @@
 
 The model predicts a text's bytes and one closing NUL, bit by bit: 255 binary trees (one per prefix of a byte's bits), each node
 a Krichevsky-Trofimov estimator, mixed over all context depths 0..4 with weight 1/2 at every node. Trees are learnt from the
-training texts and then frozen, so the counts can be summed in any order, by partition and then over partitions.
+training texts and then frozen, so the counts can be summed in any order, by bucket and then over buckets. A context that the
+training texts lack is predicted as at its longest suffix that they have.
 
 Bytes in a context are known by class: the 127 most frequent bytes of the training texts have a class each, all others share one.
-Every count of the corpus enters the tree; the tables that are broadcast hold its MOST_CONTEXTS most frequent contexts (with ties
-at the edge left out), at most 64 MB whatever the corpus. A context that is not among them is predicted as at its longest suffix
-that is.
+So two classes make at most 16,384 contexts with at most as many below each: the tree is worked off by such branches, up to the
+root and down again, and only the numbers of the 129 upper contexts reach the driver and are broadcast. Below them nothing is
+collected or left out: however many contexts the corpus has, the probability of each pair of context and byte that occurs in any
+text is a row of a table.
 
-The base score needs the training count of every token of every text. Texts are dealt into buckets; a bucket sends each of its
-distinct tokens once, with its training count; the totals of tokens that more than one bucket knows come back to the buckets.
+Texts are dealt into buckets. A bucket sends each of its distinct tokens once, with its training count, and each of its distinct
+pairs of context and byte; the totals of tokens that more than one bucket knows and the pairs' probabilities come back to it.
 
 Defined results: null text counts as empty: one token (the end), score of the closing NUL alone. Equal texts get equal scores.
 Without training rows N = V = 0 and every byte has probability 1/256. Very long texts are scored in chunks. Extra columns are
@@ -28,17 +30,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, materialize, restored, text_buffer
+from .common import arrow_batches, group_starts, materialize, per_group, text_buffer
 from .language_id import holds_out
 
 #: Bits of the class at distance 1, 2, ... in a context.
 CLASS_BITS = (7, 7, 7, 7)
 DEPTH = len(CLASS_BITS)
 SLOT_BITS = sum(CLASS_BITS)
-#: Contexts in the broadcast tables, each with 256 numbers of 2 bytes.
-MOST_CONTEXTS = 1 << 17
-#: Distinct contexts with a byte that the driver builds the tree of.
-MOST_KEYS = 4_000_000
 #: Bytes of text in a bucket of the base score, about.
 BUCKET_BYTES = 10 << 20
 CHUNK = 1 << 20
@@ -81,41 +79,33 @@ def keys(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 
 def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with about CHUNK bytes."""
+    """Ranges of at most CHUNK texts with about CHUNK bytes."""
     a = 0
     while a < len(offsets) - 1:
-        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK, side="right")) - 1)
+        b = min(a + CHUNK, max(a + 1, int(np.searchsorted(offsets, offsets[a] + CHUNK, side="right")) - 1))
         yield a, b
         a = b
 
 
-def _count(cls: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-
-        def merge() -> None:
-            k = np.concatenate([x[0] for x in found])
-            n = np.concatenate([x[1] for x in found])
-            order = np.argsort(k, kind="stable")
-            k, n = k[order], n[order]
-            new = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            found[:] = [(k[new], np.add.reduceat(n, new))]
-
-        for batch in batches:
-            data, offsets = text_buffer(batch.column("text"))
-            for a, b in chunks(offsets):
-                k = np.sort(keys(data, offsets[a : b + 1], cls))
-                new = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-                found.append((k[new], np.diff(np.append(new, len(k)))))
-                if len(found) > 16:
-                    merge()
-        if found:
-            merge()
-            k, n = found[0]
-            for a in range(0, len(k), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000].astype(np.int64)), pa.array(n[a : a + 100_000].astype(np.int64))], names=["key", "n"])
+def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of texts in ascending order, and how often each occurs in training texts."""
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
 
-    return run
+    def merge() -> None:
+        k, n = (np.concatenate([x[i] for x in found]) for i in range(2))
+        order = np.argsort(k, kind="stable")
+        cut = group_starts(k[order])
+        found[:] = [(k[order][cut[:-1]], np.add.reduceat(n[order], cut[:-1]) if len(k) else n)]
+
+    for a, b in chunks(offsets):
+        flag = np.repeat(training[a:b].astype(np.uint64), np.diff(offsets[a : b + 1]) + 1)
+        ranked = np.sort((keys(data, offsets[a : b + 1], cls) << np.uint64(1)) | flag).astype(np.int64)
+        cut = group_starts(ranked >> 1)[:-1]
+        found.append((ranked[cut] >> 1, np.add.reduceat(ranked & 1, cut)))
+        if len(found) > 16:
+            merge()
+    merge()
+    return found[0]
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -123,8 +113,8 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """For x >= 0.5: Stirling's series after 8 steps of the recurrence; good to about 1e-12."""
+def _stirling(x: np.ndarray) -> np.ndarray:
+    """log gamma for x >= 0.5: Stirling's series after 8 steps of the recurrence; good to about 1e-12."""
     shift = np.zeros_like(x)
     y = x.copy()
     for _ in range(8):
@@ -134,9 +124,21 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z / 1680))) / y - shift
 
 
+#: log gamma at 0.5, 1, 1.5, ...
+HALVES = _stirling(np.arange(1, 8193) / 2)
+
+
+def _log_gamma(x: np.ndarray) -> np.ndarray:
+    """log gamma at multiples of 0.5."""
+    out = HALVES[np.minimum(2 * x - 1, len(HALVES) - 1).astype(np.int64)]
+    large = 2 * x > len(HALVES)
+    out[large] = _stirling(x[large])
+    return out
+
+
 def bit_counts(slots: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones per slot and bit prefix (column p - 1 belongs to prefix p in 1..255)."""
-    tree = np.zeros((len(slots), 512))
+    tree = np.zeros((len(slots), 512))  # at most 16,384 slots of a branch: 64 MB
     tree[np.searchsorted(slots, key >> 8), 256 + (key & 255)] = n
     for p in range(255, 0, -1):
         tree[:, p] = tree[:, 2 * p] + tree[:, 2 * p + 1]
@@ -161,59 +163,62 @@ def climb(slots: np.ndarray, z: np.ndarray, o: np.ndarray, top: int) -> list[tup
     return levels[::-1]
 
 
-def weigh(key: np.ndarray, n: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """The frozen model of sorted keys and their counts: for each depth a table from (context one shorter, class) to context, the
-    rows of the contexts, and log10 probabilities by row and byte. The last context of a depth stands for none.
+def branches(key: np.ndarray) -> Iterator[slice]:
+    """The ranges of sorted keys whose two nearest classes agree."""
+    cut = group_starts(key >> (8 + BELOW[2]))
+    return map(slice, cut[:-1], cut[1:])
 
-    The tree is worked off by the nearest class, one branch at a time, twice: up to the root, then down from it.
-    """
-    nearest = key >> (8 + BELOW[1])
-    cuts = np.flatnonzero(np.append(True, nearest[1:] != nearest[:-1]))
-    branches = [(key[a:b], n[a:b]) for a, b in zip(cuts, np.append(cuts[1:], len(key)), strict=True)]
 
-    def branch(k: np.ndarray, m: np.ndarray) -> list[tuple]:
-        slots = np.unique(k >> 8)
-        return climb(slots, *bit_counts(slots, k, m), 1)
-
-    z, o, below = np.zeros((1, 255)), np.zeros((1, 255)), np.zeros((1, 255))
-    totals = []
-    for k, m in branches:
-        levels = branch(k, m)
-        totals += [lz[:, 0] + lo[:, 0] for _, lz, lo, _, _ in levels]  # prefix 1: all bytes
-        _, bz, bo, bw, _ = levels[0]
-        z, o, below = z + bz, o + bo, below + bw
-    totals = np.sort(np.concatenate(totals))
-    enough = totals[-MOST_CONTEXTS] if len(totals) >= MOST_CONTEXTS else 0
+def upward(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For whole branches, by nearest class: zeros, ones and log weighted probability (class, 3, 255), summed over its branches."""
+    near, sums = [], []
+    for at in branches(key):
+        slots = np.unique(key[at] >> 8)
+        _, z, o, w, _ = climb(slots, *bit_counts(slots, key[at], n[at].astype(np.float64)), 2)[0]
+        near.append(int(key[at][0] >> (8 + BELOW[1])))
+        sums.append(np.stack([z[0], o[0], w[0]]))
+    cut = group_starts(np.array(near))[:-1]
+    return np.array(near, np.int64)[cut], np.add.reduceat(np.array(sums), cut, axis=0)
+
+
+def crown(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """From `upward` sums of each class (2^bits, 3, 255), for the context of that class, or the root where training texts lack it:
+    P(one) if it is the longest known context, the mixture so far, and the weight left for longer contexts (each 2^bits x 255)."""
+    z, o, below = sums[:, 0], sums[:, 1], sums[:, 2]
     kt = log_kt(z, o)
-    w = np.exp(kt - np.logaddexp(kt, below))
+    w = np.logaddexp(kt, below) - np.log(2)
+    own = np.exp(kt - np.log(2) - w)
+    root_kt = log_kt(z.sum(0), o.sum(0))
+    root_own = np.exp(root_kt - np.logaddexp(root_kt, w.sum(0)))
+    root = (o.sum(0) + 0.5) / (z.sum(0) + o.sum(0) + 1.0)
+    base, left = np.tile(root_own * root, (len(z), 1)), np.tile(1 - root_own, (len(z), 1))
+    return _descend(z, o, own, np.tile(root, (len(z), 1)), base, left)
+
+
+def _descend(z, o, own, one, base, left) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`one`, `base` and `left` of contexts from those of their parents; contexts not known keep the parent's."""
+    known = (z[:, :1] + o[:, :1]) > 0  # prefix 1: all bytes
     estimate = (o + 0.5) / (z + o + 1.0)
-    root_base, root_left = w * estimate, 1 - w
-    logs = [[] for _ in range(DEPTH + 1)]
-    contexts = [[] for _ in range(DEPTH + 1)]
-    logs[0], contexts[0] = [_byte_logs(estimate)], [np.zeros(1, np.int64)]
-    for k, m in branches:
-        base, left, ids = root_base, root_left, np.zeros(1, np.int64)
-        for d, (own, z, o, _, w) in enumerate(branch(k, m), start=1):
-            kept = z[:, 0] + o[:, 0] > enough
-            own, z, o, w = own[kept], z[kept], o[kept], w[kept]
-            up = np.searchsorted(ids, own >> (BELOW[d - 1] - BELOW[d])) if d > 1 else np.zeros(len(own), np.int64)
-            estimate = (o + 0.5) / (z + o + 1.0)
-            base, left = base[up], left[up]
-            logs[d].append(_byte_logs(base + left * estimate))  # where it is the longest known context
-            contexts[d].append(own)
-            base, left, ids = base + left * w * estimate, left * (1 - w), own
-    steps, rows, at = [], [np.zeros(2, np.int32)], 1
-    ids = contexts[0][0]
-    for d in range(1, DEPTH + 1):
-        own = np.concatenate(contexts[d])
-        step = np.full((len(ids) + 1, 1 << CLASS_BITS[d - 1]), len(own), np.int32)
-        parent = np.searchsorted(ids, own >> CLASS_BITS[d - 1]) if d > 1 else np.zeros(len(own), np.int64)
-        step[parent, own & ((1 << CLASS_BITS[d - 1]) - 1)] = np.arange(len(own))
-        steps.append(step)
-        rows.append(np.append(at + np.arange(len(own)), 0).astype(np.int32))
-        at += len(own)
-        ids = own
-    return steps, rows, np.concatenate([x for part in logs for x in part])
+    return (
+        np.where(known, base + left * estimate, one),
+        np.where(known, base + left * own * estimate, base),
+        np.where(known, left * (1 - own), left),
+    )
+
+
+def downward(key: np.ndarray, n: np.ndarray, top: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+    """log10 probability of each key's byte after its context, for whole branches of sorted keys (n = 0: not in training)."""
+    out = np.zeros(len(key))
+    for at in branches(key):
+        k = key[at]
+        slots = np.unique(k >> 8)
+        near = int(k[0] >> (8 + BELOW[1]))
+        state, ids = tuple(x[near : near + 1] for x in top), np.array([near])
+        for d, (contexts, z, o, _, own) in enumerate(climb(slots, *bit_counts(slots, k, n[at].astype(np.float64)), 2), start=2):
+            up = np.searchsorted(ids, contexts >> CLASS_BITS[d - 1])
+            state, ids = _descend(z, o, own, *(x[up] for x in state)), contexts
+        out[at] = _byte_logs(state[0])[np.searchsorted(slots, k >> 8), k & 255]
+    return out
 
 
 def _byte_logs(one: np.ndarray) -> np.ndarray:
@@ -223,55 +228,60 @@ def _byte_logs(one: np.ndarray) -> np.ndarray:
         hi, lo = np.log10(one), np.log10(1 - one)
     for p in range(1, 256):
         out[:, 2 * p], out[:, 2 * p + 1] = out[:, p] + lo[:, p - 1], out[:, p] + hi[:, p - 1]
-    return out[:, 256:].astype(np.float16)
-
-
-class Model:
-    """Frozen context tree: scores texts."""
-
-    def __init__(self, cls: np.ndarray, key: np.ndarray, n: np.ndarray):
-        self.cls = cls
-        self.known = len(key) > 0
-        if self.known:
-            order = np.argsort(key)
-            self.steps, self.rows, self.logs = weigh(key[order].astype(np.int64), n[order].astype(np.float64))
-
-    def score(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """log10 probability of each text with its closing NUL."""
-        lengths = np.diff(offsets) + 1
-        if not self.known:
-            return lengths * -np.log10(256)
-        out = np.zeros(len(lengths))
-        for a, b in chunks(offsets):
-            text, at = padded(data, offsets[a : b + 1])
-            row = np.zeros(len(at), np.int32)
-            node = np.zeros(len(at), np.int32)
-            for d in range(DEPTH):
-                node = self.steps[d][node, self.cls[d][text[at - d - 1]]]
-                found = self.rows[d + 1][node]
-                row = np.where(found > 0, found, row)
-            logs = self.logs[row, text[at]].astype(np.float64)
-            out[a:b] = np.add.reduceat(logs, np.cumsum(lengths[a:b]) - lengths[a:b])
-        return out
-
-
-def fit(training: DataFrame) -> Model:
-    """The model of texts (column text). Collected: 256 rows of sums, and one per context of 4 classes with its byte: some
-    100,000 in text, checked to be at most MOST_KEYS."""
-    arrow_batches(training.sparkSession)
-    texts = training.select("text")
-    frequency = texts.mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).toArrow()
+    return out[:, 256:]
+
+
+def text_scores(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray, key: np.ndarray, log: np.ndarray) -> np.ndarray:
+    """log10 probability of each text with its closing NUL, from sorted keys (all of these texts' among them) and their logs."""
+    out = np.zeros(len(offsets) - 1)
+    for a, b in chunks(offsets):
+        k = keys(data, offsets[a : b + 1], cls)
+        of = np.repeat(np.arange(b - a, dtype=np.uint64), np.diff(offsets[a : b + 1]) + 1)
+        ranked = np.sort((k << np.uint64(20)) | of)  # 8 + SLOT_BITS bits of key, at most 2^20 texts
+        k = (ranked >> np.uint64(20)).astype(np.int64)
+        cut = group_starts(k)
+        logs = np.repeat(log[np.searchsorted(key, k[cut[:-1]])], np.diff(cut))
+        out[a:b] = np.bincount((ranked & np.uint64((1 << 20) - 1)).astype(np.int64), weights=logs, minlength=b - a)
+    return out
+
+
+def byte_classes(texts: DataFrame) -> np.ndarray:
+    """The classes of bytes, by their frequency in column text. Collected: 256 rows."""
+    frequency = texts.select("text").mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).toArrow()
     by_byte = np.zeros(256, np.int64)
     by_byte[frequency["byte"].to_numpy()] = frequency["n"].to_numpy()
-    cls = classes(by_byte)
-    sums = materialize(texts.mapInArrow(_count(cls), "key long, n long").groupBy("key").agg(F.sum("n").alias("n")))
-    if (found := sums.count()) > MOST_KEYS:
-        # The rarest are counted with the far bytes of their context as the class of rare bytes: no count is dropped.
-        cut = sums.approxQuantile("n", [1 - MOST_KEYS / found], 0.001)[0]
-        suffix = F.when(F.col("n") > cut, F.col("key")).otherwise(F.col("key") - F.pmod("key", F.lit(1 << (8 + BELOW[2]))) + F.pmod("key", F.lit(256)) + (((1 << BELOW[2]) - 1) << 8))
-        sums = sums.groupBy(suffix.alias("key")).agg(F.sum("n").alias("n"))
-    sums = sums.toArrow()
-    return Model(cls, sums["key"].to_numpy(), sums["n"].to_numpy())
+    return classes(by_byte)
+
+
+def _up(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    near, sums = upward(table["key"].to_numpy(), table["n"].to_numpy())
+    width = sums.shape[2]
+    columns = [np.repeat(near, width), np.tile(np.arange(width), len(near)), *(sums[:, i].ravel() for i in range(3))]
+    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["near", "prefix", "z", "o", "w"])
+
+
+def _down(top):
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        logs = downward(table["key"].to_numpy(), table["n"].to_numpy(), top.value)
+        yield pa.RecordBatch.from_arrays([table["key"].combine_chunks(), pa.array(logs.astype(np.float32))], names=["key", "log"])
+
+    return work
+
+
+def key_logs(counts: DataFrame) -> DataFrame:
+    """(key, log): log10 probability of each distinct key of counts (key, n), where n sums to how often training texts have it.
+
+    A task works off whole branches, each at most 2^14 contexts with 256 bytes. Collected: 128 x 255 rows of sums."""
+    sums = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    sums = materialize(sums.withColumn("branch", F.shiftright("key", 8 + BELOW[2]).cast("int")))
+    dealt = sums.repartition("branch").sortWithinPartitions("branch", "key")
+    raised = dealt.mapInArrow(per_group(["branch"], _up), "near long, prefix long, z double, o double, w double")
+    rows = raised.groupBy("near", "prefix").agg(*[F.sum(c).alias(c) for c in "zow"]).toArrow()
+    total = np.zeros((1 << CLASS_BITS[0], 3, 255))
+    for i, c in enumerate("zow"):
+        total[rows["near"].to_numpy(), i, rows["prefix"].to_numpy()] = rows[c].to_numpy()
+    top = counts.sparkSession.sparkContext.broadcast(crown(total))
+    return materialize(dealt.mapInArrow(per_group(["branch"], _down(top)), "key long, log float"))
 
 
 def _tokens(text: bytes) -> list[bytes]:
@@ -283,26 +293,34 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
-def bucket_counts(table: pa.Table) -> pa.Table:
-    """(bucket, token, n): each distinct token of a bucket's texts once, as a 64-bit hash, with its count in training texts."""
-    known: Counter = Counter()
-    other: set[bytes] = set()
-    data, offsets = text_buffer(table["text"].combine_chunks())
-    for a, b, train in zip(offsets[:-1], offsets[1:], table["training"].to_pylist(), strict=True):
-        words = _tokens(data[a:b].tobytes())
-        if train:
-            known.update(words)
-        else:
-            other.update(words)
-    other -= known.keys()
-    n = np.fromiter(known.values(), dtype=np.int64, count=len(known))
-    token = _hashes([*known, *other])
-    return pa.table({"bucket": pa.array(np.full(len(token), table["bucket"][0].as_py(), np.int32)), "token": token, "n": np.concatenate([n, np.zeros(len(other), np.int64)])})
-
-
-def _score_bucket(model):
+def _bucket_counts(cls: np.ndarray):
+    def run(table: pa.Table) -> pa.Table:
+        """(bucket, tree, token, n): each distinct token of a bucket's texts once, as a 64-bit hash, with its count in training
+        texts; under tree, each distinct key."""
+        known: Counter = Counter()
+        other: set[bytes] = set()
+        data, offsets = text_buffer(table["text"].combine_chunks())
+        training = table["training"].to_pylist()
+        for a, b, train in zip(offsets[:-1], offsets[1:], training, strict=True):
+            words = _tokens(data[a:b].tobytes())
+            if train:
+                known.update(words)
+            else:
+                other.update(words)
+        other -= known.keys()
+        n = np.fromiter(known.values(), dtype=np.int64, count=len(known))
+        token = _hashes([*known, *other])
+        key, times = key_counts(data, offsets, np.array(training, bool), cls)
+        size = len(token) + len(key)
+        return pa.table({"bucket": pa.array(np.full(size, table["bucket"][0].as_py(), np.int32)), "tree": np.arange(size) >= len(token), "token": np.concatenate([token, key]), "n": np.concatenate([n, np.zeros(len(other), np.int64), times])})
+
+    return run
+
+
+def _score_bucket(cls: np.ndarray):
     def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        """docs: rows of a bucket; totals: (bucket, token, n) of tokens that other buckets know too."""
+        """docs: rows of a bucket; totals: (bucket, tree, token, value): the training counts of tokens that other buckets know
+        too, and the logs of the bucket's keys."""
         if not docs.num_rows:
             return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
         counts: Counter = Counter()
@@ -318,13 +336,14 @@ def _score_bucket(model):
                         counts[w] = 0
         words = list(counts)
         n = np.fromiter(counts.values(), dtype=np.int64, count=len(words))
-        if totals.num_rows:
-            token, total = totals["token"].to_numpy(), totals["n"].to_numpy()
-            order = np.argsort(token)
-            token, total = token[order], total[order]
+        tree, token, value = totals["tree"].to_numpy(), totals["token"].to_numpy(), totals["value"].to_numpy()
+        order = np.lexsort((token, tree))
+        tokens = len(tree) - int(tree.sum())
+        token, value = token[order], value[order]
+        if tokens:
             own = _hashes(words)
-            at = np.minimum(np.searchsorted(token, own), len(token) - 1)
-            n = np.where(token[at] == own, total[at], n)
+            at = np.minimum(np.searchsorted(token[:tokens], own), tokens - 1)
+            n = np.where(token[at] == own, value[at].astype(np.int64), n)
         place = dict(zip(words, range(len(words)), strict=True))
         logs, known = np.log10(n + 0.5), n > 0
         lengths = np.zeros(len(texts), np.int64)
@@ -332,7 +351,7 @@ def _score_bucket(model):
         for i, text in enumerate(texts):
             at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
             lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": restored(Model, model.value).score(data, offsets)})
+        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, token[tokens:], value[tokens:])})
 
     return run
 
@@ -345,12 +364,15 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     arrow_batches(spark)
     rows = docs.select("doc_id", "text", "training")
-    model = spark.sparkContext.broadcast(fit(rows.where("training")).__dict__)
+    cls = byte_classes(rows.where("training"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES), min(12, rows.limit(12).count()))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
-    counts = dealt.groupBy("bucket").applyInArrow(bucket_counts, "bucket int, token long, n long")
+    found = materialize(dealt.groupBy("bucket").applyInArrow(_bucket_counts(cls), "bucket int, tree boolean, token long, n long"))
+    counts = found.where("not tree").drop("tree")
+    asked = found.where("tree").select("bucket", F.col("token").alias("key"), "n")
+    logs = key_logs(asked.select("key", "n"))
     # A token's rows are as many as the buckets that know it; the sums need no more than them.
     token = Window.partitionBy("token")
     both = counts.select("*", F.sum("n").over(token).alias("total"), F.row_number().over(token.orderBy("bucket")).alias("k"), F.count(F.lit(1)).over(token).alias("in_buckets"))
@@ -358,8 +380,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     v, n = both.where("first and total > 0").agg(F.count(F.lit(1)), F.sum("total")).first()
     ends = rows.where("training").count()
     v, n = v + (ends > 0), (n or 0) + ends
-    totals = both.where("in_buckets > 1").select("bucket", "token", F.col("total").alias("n"))
-    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket(model), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
+    totals = both.where("in_buckets > 1").select("bucket", F.lit(False).alias("tree"), "token", F.col("total").cast("double").alias("value"))
+    back = asked.select("bucket", "key").join(logs, "key").select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value"))
+    scored = dealt.groupBy("bucket").cogroup(totals.unionByName(back).groupBy("bucket")).applyInArrow(_score_bucket(cls), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
     end_log = float(np.log10(ends + 0.5))
     unit = float(np.log10(n + 0.5 * (v + 1)))
     return scored.select(

@@ -209,9 +209,20 @@ def test_context_tree_sums_to_one_and_equals_recursion():
     data = pa.array(["abracadabra", "abra cadabra", "banana"])
     d, o = lm_scoring.text_buffer(data)
     cls = lm_scoring.classes(np.bincount(d, minlength=256))
-    k, n = np.unique(lm_scoring.keys(d, o, cls), return_counts=True)
-    model = lm_scoring.Model(cls, k, n)
-    assert np.allclose((10.0 ** model.logs.astype(float)).sum(1), 1, atol=0.02)
+    k, n = lm_scoring.key_counts(d, o, np.ones(3, bool), cls)
+    whole = np.unique(np.repeat((k >> 8) << 8, 256) + np.tile(np.arange(256), len(k)))  # every byte after every context
+    text = b"abracab"
+    d2, o2 = lm_scoring.text_buffer(pa.array([text.decode()]))
+    whole = np.union1d(whole, lm_scoring.key_counts(d2, o2, np.zeros(1, bool), cls)[0])
+    times = np.zeros(len(whole), np.int64)
+    times[np.searchsorted(whole, k)] = n
+    total = np.zeros((128, 3, 255))
+    near, sums = lm_scoring.upward(whole, times)
+    total[near] = sums
+    logs = lm_scoring.downward(whole, times, lm_scoring.crown(total))
+    slots, at = np.unique(whole >> 8, return_inverse=True)
+    full = np.bincount(at) == 256
+    assert full.sum() == len(np.unique(k >> 8)) and np.allclose(np.bincount(at, weights=10.0**logs)[full], 1)
     depth = lm_scoring.DEPTH
     nodes = defaultdict(lambda: [0, 0])
     for t in data.to_pylist():
@@ -243,15 +254,13 @@ def test_context_tree_sums_to_one_and_equals_recursion():
         w = 0.5 * pe(a, b) / pw(level, ctx, prefix)
         return w * kt + (1 - w) * one(full, prefix, level + 1)
 
-    text = b"abracab"
     want, s = 0.0, b"\0" * depth + text + b"\0"
     for i in range(depth, len(s)):
         bits = f"{s[i]:08b}"
         for j in range(8):
             p = one(s[i - depth : i], bits[:j])
             want += math.log10(p if bits[j] == "1" else 1 - p)
-    d2, o2 = lm_scoring.text_buffer(pa.array([text.decode()]))
-    assert abs(model.score(d2, o2)[0] - want) < 0.02
+    assert abs(lm_scoring.text_scores(d2, o2, cls, whole, logs)[0] - want) < 1e-9
 
 
 def vectors(spark):
