@@ -7,12 +7,12 @@ training texts lack is predicted as at its longest suffix that they have.
 
 Bytes in a context are known by class: the 127 most frequent bytes of the training texts have a class each, all others share one.
 So two classes make at most 16,384 contexts with at most as many below each: the tree is worked off by such branches, up to the
-root and down again, and only the numbers of the 129 upper contexts reach the driver and are broadcast. Below them nothing is
-collected or left out: however many contexts the corpus has, the probability of each pair of context and byte that occurs in any
-text is a row of a table.
+root and down again, and only the numbers of the 129 upper contexts are collected for that. Nothing is left out: however many
+contexts the corpus has, the probability of each pair of context and byte that occurs in any text is a row of a table.
 
-Texts are dealt into buckets. A bucket sends each of its distinct tokens once, with its training count, and each of its distinct
-pairs of context and byte; the totals of tokens that more than one bucket knows and the pairs' probabilities come back to it.
+Texts are dealt into buckets. A bucket sends each of its distinct tokens once, with its training count; the totals of tokens that
+more than one bucket knows come back to it. The pairs' probabilities are broadcast if they are at most MOST_BROADCAST rows;
+otherwise a bucket asks for each of its distinct pairs by a join. Both give the same scores.
 
 Defined results: null text counts as empty: one token (the end), score of the closing NUL alone. Equal texts get equal scores.
 Without training rows N = V = 0 and every byte has probability 1/256. Very long texts are scored in chunks. Extra columns are
@@ -37,6 +37,8 @@ from .language_id import holds_out
 CLASS_BITS = (7, 7, 7, 7)
 DEPTH = len(CLASS_BITS)
 SLOT_BITS = sum(CLASS_BITS)
+#: Pairs of context and byte that are broadcast, at 12 bytes; more are joined.
+MOST_BROADCAST = 2_000_000
 #: Bytes of text in a bucket of the base score, about.
 BUCKET_BYTES = 10 << 20
 CHUNK = 1 << 20
@@ -87,25 +89,38 @@ def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys of texts in ascending order, and how often each occurs in training texts."""
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    k, n = (np.concatenate([np.zeros(0, np.int64), *[x[i] for x in found]]) for i in range(2))
+    order = np.argsort(k, kind="stable")
+    cut = group_starts(k[order])[:-1]
+    return k[order][cut], np.add.reduceat(n[order], cut) if len(k) else n
 
-    def merge() -> None:
-        k, n = (np.concatenate([x[i] for x in found]) for i in range(2))
-        order = np.argsort(k, kind="stable")
-        cut = group_starts(k[order])
-        found[:] = [(k[order][cut[:-1]], np.add.reduceat(n[order], cut[:-1]) if len(k) else n)]
 
+def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of texts in ascending order, and how often each occurs in training texts."""
+    found = []
     for a, b in chunks(offsets):
         flag = np.repeat(training[a:b].astype(np.uint64), np.diff(offsets[a : b + 1]) + 1)
         ranked = np.sort((keys(data, offsets[a : b + 1], cls) << np.uint64(1)) | flag).astype(np.int64)
         cut = group_starts(ranked >> 1)[:-1]
         found.append((ranked[cut] >> 1, np.add.reduceat(ranked & 1, cut)))
         if len(found) > 16:
-            merge()
-    merge()
-    return found[0]
+            found = [_merged(found)]
+    return _merged(found)
+
+
+def _count(cls: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
+        for batch in batches:
+            found.append(key_counts(*text_buffer(batch.column("text")), batch.column("training").to_numpy(zero_copy_only=False), cls))
+            if len(found) > 16:
+                found = [_merged(found)]
+        k, n = _merged(found)
+        for a in range(0, len(k), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["key", "n"])
+
+    return run
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -293,34 +308,36 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words)).view(np.int64)
 
 
-def _bucket_counts(cls: np.ndarray):
+def bucket_counts(table: pa.Table) -> pa.Table:
+    """(bucket, token, n): each distinct token of a bucket's texts once, as a 64-bit hash, with its count in training texts."""
+    known: Counter = Counter()
+    other: set[bytes] = set()
+    data, offsets = text_buffer(table["text"].combine_chunks())
+    for a, b, train in zip(offsets[:-1], offsets[1:], table["training"].to_pylist(), strict=True):
+        words = _tokens(data[a:b].tobytes())
+        if train:
+            known.update(words)
+        else:
+            other.update(words)
+    other -= known.keys()
+    n = np.fromiter(known.values(), dtype=np.int64, count=len(known))
+    token = _hashes([*known, *other])
+    return pa.table({"bucket": pa.array(np.full(len(token), table["bucket"][0].as_py(), np.int32)), "token": token, "n": np.concatenate([n, np.zeros(len(other), np.int64)])})
+
+
+def _bucket_keys(cls: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
-        """(bucket, tree, token, n): each distinct token of a bucket's texts once, as a 64-bit hash, with its count in training
-        texts; under tree, each distinct key."""
-        known: Counter = Counter()
-        other: set[bytes] = set()
-        data, offsets = text_buffer(table["text"].combine_chunks())
-        training = table["training"].to_pylist()
-        for a, b, train in zip(offsets[:-1], offsets[1:], training, strict=True):
-            words = _tokens(data[a:b].tobytes())
-            if train:
-                known.update(words)
-            else:
-                other.update(words)
-        other -= known.keys()
-        n = np.fromiter(known.values(), dtype=np.int64, count=len(known))
-        token = _hashes([*known, *other])
-        key, times = key_counts(data, offsets, np.array(training, bool), cls)
-        size = len(token) + len(key)
-        return pa.table({"bucket": pa.array(np.full(size, table["bucket"][0].as_py(), np.int32)), "tree": np.arange(size) >= len(token), "token": np.concatenate([token, key]), "n": np.concatenate([n, np.zeros(len(other), np.int64), times])})
+        """(bucket, key): each distinct key of a bucket's texts."""
+        key = key_counts(*text_buffer(table["text"].combine_chunks()), np.zeros(table.num_rows, bool), cls)[0]
+        return pa.table({"bucket": pa.array(np.full(len(key), table["bucket"][0].as_py(), np.int32)), "key": key})
 
     return run
 
 
-def _score_bucket(cls: np.ndarray):
+def _score_bucket(cls: np.ndarray, model):
     def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
         """docs: rows of a bucket; totals: (bucket, tree, token, value): the training counts of tokens that other buckets know
-        too, and the logs of the bucket's keys."""
+        too, and, under tree, the logs of the bucket's keys, unless these are broadcast."""
         if not docs.num_rows:
             return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
         counts: Counter = Counter()
@@ -351,7 +368,7 @@ def _score_bucket(cls: np.ndarray):
         for i, text in enumerate(texts):
             at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
             lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, token[tokens:], value[tokens:])})
+        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, *(model.value if model else (token[tokens:], value[tokens:])))})
 
     return run
 
@@ -363,16 +380,18 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     arrow_batches(spark)
-    rows = docs.select("doc_id", "text", "training")
+    rows = docs.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
     cls = byte_classes(rows.where("training"))
     kind = docs.schema["doc_id"].dataType.simpleString()
+    logs = key_logs(rows.select("text", "training").mapInArrow(_count(cls), "key long, n long"))
+    model = None
+    if logs.count() <= MOST_BROADCAST:
+        table = logs.toArrow().sort_by("key")
+        model = spark.sparkContext.broadcast((table["key"].to_numpy(), table["log"].to_numpy()))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES), min(12, rows.limit(12).count()))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
-    found = materialize(dealt.groupBy("bucket").applyInArrow(_bucket_counts(cls), "bucket int, tree boolean, token long, n long"))
-    counts = found.where("not tree").drop("tree")
-    asked = found.where("tree").select("bucket", F.col("token").alias("key"), "n")
-    logs = key_logs(asked.select("key", "n"))
+    counts = dealt.groupBy("bucket").applyInArrow(bucket_counts, "bucket int, token long, n long")
     # A token's rows are as many as the buckets that know it; the sums need no more than them.
     token = Window.partitionBy("token")
     both = counts.select("*", F.sum("n").over(token).alias("total"), F.row_number().over(token.orderBy("bucket")).alias("k"), F.count(F.lit(1)).over(token).alias("in_buckets"))
@@ -381,8 +400,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     ends = rows.where("training").count()
     v, n = v + (ends > 0), (n or 0) + ends
     totals = both.where("in_buckets > 1").select("bucket", F.lit(False).alias("tree"), "token", F.col("total").cast("double").alias("value"))
-    back = asked.select("bucket", "key").join(logs, "key").select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value"))
-    scored = dealt.groupBy("bucket").cogroup(totals.unionByName(back).groupBy("bucket")).applyInArrow(_score_bucket(cls), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
+    if model is None:
+        back = dealt.groupBy("bucket").applyInArrow(_bucket_keys(cls), "bucket int, key long").join(logs, "key")
+        totals = totals.unionByName(back.select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value")))
+    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket(cls, model), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
     end_log = float(np.log10(ends + 0.5))
     unit = float(np.log10(n + 0.5 * (v + 1)))
     return scored.select(

@@ -176,7 +176,12 @@ def test_order_min_hash_by_definition():
             assert int(part[0] >> 16) == int(got[m])
 
 
-def test_lm_scoring(docs, empty):
+@pytest.mark.parametrize("most", [2_000_000, 0])
+def test_lm_scoring(docs, empty, most, monkeypatch):
+    scores = {r.doc_id: r.score for r in lm_scoring.score_texts(docs.withColumn("training", F.lit(True))).collect()}
+    monkeypatch.setattr(lm_scoring, "MOST_BROADCAST", most)  # beyond it: by a join
+    again = {r.doc_id: r.score for r in lm_scoring.score_texts(docs.withColumn("training", F.lit(True))).collect()}
+    assert again.keys() == scores.keys() and all(abs(again[i] - scores[i]) < 1e-6 * abs(scores[i]) for i in scores)
     train = F.coalesce(F.col("doc_id") % 5 != 1, F.lit(True))
     out = lm_scoring.score_texts(docs.withColumn("training", train)).collect()
     counts, n_train = Counter(), 0
