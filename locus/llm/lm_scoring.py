@@ -11,8 +11,7 @@ root and down again, and only the numbers of the 129 upper contexts are collecte
 contexts the corpus has, the probability of each pair of context and byte that occurs in any text is a row of a table.
 
 Texts are dealt into buckets. A bucket sends each of its distinct tokens once, with its training count; the totals of tokens that
-more than one bucket knows come back to it. The pairs' probabilities are broadcast if they are at most MOST_BROADCAST rows;
-otherwise a bucket asks for each of its distinct pairs by a join. Both give the same scores.
+more than one bucket knows come back to it. It asks once for each of its distinct pairs of context and byte, by a join.
 
 Defined results: null text counts as empty: one token (the end), score of the closing NUL alone. Equal texts get equal scores.
 Without training rows N = V = 0 and every byte has probability 1/256. Very long texts are scored in chunks. Extra columns are
@@ -37,8 +36,6 @@ from .language_id import holds_out
 CLASS_BITS = (7, 7, 7, 7)
 DEPTH = len(CLASS_BITS)
 SLOT_BITS = sum(CLASS_BITS)
-#: Pairs of context and byte that are broadcast, at 12 bytes; more are joined.
-MOST_BROADCAST = 2_000_000
 #: Bytes of text in a bucket of the base score, about.
 BUCKET_BYTES = 10 << 20
 CHUNK = 1 << 20
@@ -334,10 +331,10 @@ def _bucket_keys(cls: np.ndarray):
     return run
 
 
-def _score_bucket(cls: np.ndarray, model):
+def _score_bucket(cls: np.ndarray):
     def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
         """docs: rows of a bucket; totals: (bucket, tree, token, value): the training counts of tokens that other buckets know
-        too, and, under tree, the logs of the bucket's keys, unless these are broadcast."""
+        too, and, under tree, the logs of the bucket's keys."""
         if not docs.num_rows:
             return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
         counts: Counter = Counter()
@@ -368,7 +365,7 @@ def _score_bucket(cls: np.ndarray, model):
         for i, text in enumerate(texts):
             at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
             lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, *(model.value if model else (token[tokens:], value[tokens:])))})
+        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, token[tokens:], value[tokens:])})
 
     return run
 
@@ -384,10 +381,6 @@ def score_texts(docs: DataFrame) -> DataFrame:
     cls = byte_classes(rows.where("training"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     logs = key_logs(rows.select("text", "training").mapInArrow(_count(cls), "key long, n long"))
-    model = None
-    if logs.count() <= MOST_BROADCAST:
-        table = logs.toArrow().sort_by("key")
-        model = spark.sparkContext.broadcast((table["key"].to_numpy(), table["log"].to_numpy()))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES), min(12, rows.limit(12).count()))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
@@ -400,10 +393,9 @@ def score_texts(docs: DataFrame) -> DataFrame:
     ends = rows.where("training").count()
     v, n = v + (ends > 0), (n or 0) + ends
     totals = both.where("in_buckets > 1").select("bucket", F.lit(False).alias("tree"), "token", F.col("total").cast("double").alias("value"))
-    if model is None:
-        back = dealt.groupBy("bucket").applyInArrow(_bucket_keys(cls), "bucket int, key long").join(logs, "key")
-        totals = totals.unionByName(back.select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value")))
-    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket(cls, model), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
+    asked = dealt.groupBy("bucket").applyInArrow(_bucket_keys(cls), "bucket int, key long")
+    totals = totals.unionByName(asked.join(logs, "key").select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value")))
+    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket(cls), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
     end_log = float(np.log10(ends + 0.5))
     unit = float(np.log10(n + 0.5 * (v + 1)))
     return scored.select(

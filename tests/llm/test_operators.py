@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -176,12 +177,7 @@ def test_order_min_hash_by_definition():
             assert int(part[0] >> 16) == int(got[m])
 
 
-@pytest.mark.parametrize("most", [2_000_000, 0])
-def test_lm_scoring(docs, empty, most, monkeypatch):
-    scores = {r.doc_id: r.score for r in lm_scoring.score_texts(docs.withColumn("training", F.lit(True))).collect()}
-    monkeypatch.setattr(lm_scoring, "MOST_BROADCAST", most)  # beyond it: by a join
-    again = {r.doc_id: r.score for r in lm_scoring.score_texts(docs.withColumn("training", F.lit(True))).collect()}
-    assert again.keys() == scores.keys() and all(abs(again[i] - scores[i]) < 1e-6 * abs(scores[i]) for i in scores)
+def test_lm_scoring(docs, empty):
     train = F.coalesce(F.col("doc_id") % 5 != 1, F.lit(True))
     out = lm_scoring.score_texts(docs.withColumn("training", train)).collect()
     counts, n_train = Counter(), 0
@@ -198,7 +194,18 @@ def test_lm_scoring(docs, empty, most, monkeypatch):
         assert r.n_tokens == len(t) + 1 and r.train_tokens == n
         assert r.n_known == sum(counts[w] > 0 for w in t) + 1
         assert abs(r.base_score - base) < 1e-6 * max(1, abs(base))
-        assert r.score < 0
+    texts = sorted(((r[1] or "", r[0] is None or r[0] % 5 != 1) for r in ROWS))
+    data, offsets = lm_scoring.text_buffer(pa.array([x for x, _ in texts]))
+    training = np.array([x for _, x in texts])
+    frequency = sum(np.bincount(np.frombuffer(x.encode(), np.uint8), minlength=256) for x, t in texts if t)
+    cls = lm_scoring.classes(frequency)
+    key, n = lm_scoring.key_counts(data, offsets, training, cls)
+    total = np.zeros((128, 3, 255))
+    near, sums = lm_scoring.upward(key, n)
+    total[near] = sums
+    want = lm_scoring.text_scores(data, offsets, cls, key, lm_scoring.downward(key, n, lm_scoring.crown(total)))
+    want = dict(zip((x for x, _ in texts), want, strict=True))
+    assert all(abs(r.score - want[text[r.doc_id] or ""]) < 1e-6 * abs(r.score) for r in out)
     assert lm_scoring.score_texts(empty.withColumn("training", F.lit(True))).count() == 0
     none = lm_scoring.score_texts(docs.withColumn("training", F.lit(False))).collect()
     assert all(abs(r.score + ((len((text[r.doc_id] or "").encode()) + 1) * np.log10(256))) < 1e-6 * abs(r.score) for r in none)
