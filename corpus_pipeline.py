@@ -1,4 +1,4 @@
-"""The corpus pipeline: language ID, SimHash near-dedup, repeated passages, mixing to target weights, BPE encoding.
+"""The corpus pipeline: language ID, near-dedup by shingles, repeated passages, mixing to target weights, BPE encoding.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a DataFrame that is written as Parquet
 and read again as the next stage's docs. All but the last return the columns of documents.
@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from locus.llm.bpe import encode_decode
 from locus.llm.common import materialize
+from locus.llm.jaccard import near_texts
 from locus.llm.language_id import identify
 from locus.llm.mixing import mix_documents
-from locus.llm.simhash import fingerprints, near_duplicates
 from locus.llm.suffix_dedup import remove_repeats
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -27,17 +27,14 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id; of repeated rows one stays. Rows
-    without doc_id stay only where their whole group has none, one for each fingerprint."""
-    labelled = near_duplicates(docs, words=5)
+    """One document of each group of near duplicates (Jaccard similarity of five-word shingles 0.8 or more) stays: the one with the
+    smallest doc_id; of repeated rows one stays. Rows without doc_id stay only where their whole group has none, one for each group."""
+    labelled = materialize(near_texts(docs, words=5))
     kept = materialize(labelled.where("doc_id = component_id").select("doc_id").distinct())
     first = docs.join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    alone = labelled.where("component_id is null").select("fingerprint").distinct()
     nameless = docs.where("doc_id is null").select(*COLUMNS)
-    prints = fingerprints(nameless.select(F.col("text").alias("doc_id"), "text"), words=5).toDF("of", "fp").distinct()
-    prints = prints.withColumn("fingerprint", F.lower(F.lpad(F.hex("fp"), 16, "0"))).join(alone, "fingerprint", "left_semi")
-    stay = prints.groupBy("fp").agg(F.min("of").alias("of"))
-    return first.unionByName(nameless.join(stay, F.col("text") == F.col("of"), "left_semi").dropDuplicates(["text"]))
+    stay = labelled.where("component_id is null").groupBy("component").agg(F.min("tid").alias("tid")).select("tid")
+    return first.unionByName(nameless.join(stay, F.xxhash64("text") == F.col("tid"), "left_semi").dropDuplicates(["text"]))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,0 +1,174 @@
+"""Near-duplicate texts by exact Jaccard similarity of their word shingles, 4/5 or more: every such pair is found.
+
+Prefix filter: with all shingles in one order, two sets of similarity 4/5 share a shingle among the first n - ceil(4n/5) + 1 of
+each. Only these are dealt out by shingle; pairs that meet are verified on the whole sets. Any order gives the same result:
+shingles that a sixteenth of the texts shows to be frequent come last, so that few groups are large.
+
+Groups are linked in two rounds: each text with the first of its group, then all pairs of a group that the first round's links
+leave unconnected. Copies cost one pair each that way, not one for each other copy. Large groups are cut into blocks.
+
+Defined results: shingles as in `simhash` (XXH64, 64 bits); texts with equal sets are one item, texts without words among them.
+Repeated rows fall into one component. A null doc_id never names a component unless its component has no other. An empty table
+gives an empty result. Extra columns are ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import arrow_batches, components, group_starts, materialize, per_group, split_hot, spread
+from .simhash import shingle_hashes
+
+#: One text of so many is counted for the order of shingles, and how often a frequent one occurs in them at least.
+SAMPLED, FREQUENT = 16, 3
+#: Frequent shingles told apart from others; more would only be ordered worse.
+MOST_FREQUENT = 1 << 20
+#: Rows of one part of a large group; a task compares twice as many.
+MOST_ROWS = 4000
+#: Pairs that may come up at once.
+PAIRS = 4_000_000
+
+
+def shingle_set(text: str | None, words: int, seed: int) -> np.ndarray:
+    return np.unique(shingle_hashes((text or "").encode("utf-8", "surrogatepass"), words, seed))
+
+
+def prefix(own: np.ndarray, frequent: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The first n - ceil(4n/5) + 1 of n sorted shingles: frequent ones (sorted, with their counts) after all others."""
+    n = len(own)
+    if not n:
+        return own
+    rank = np.zeros(n, np.int64)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
+        rank = np.where(frequent[at] == own, count[at], 0)
+    return own[np.argsort(rank, kind="stable")[: n - (4 * n + 4) // 5 + 1]]
+
+
+def _sampled(words: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, words, seed).view(np.int64))], names=["shingle"])
+
+    return run
+
+
+def _items(words: int, seed: int, frequent):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often, count = frequent.value
+        for batch in batches:
+            items, sizes, prefixes = [], [], []
+            for text in batch.column("text").to_pylist():
+                own = shingle_set(text, words, seed)
+                items.append(xxhash.xxh64_intdigest(own.tobytes(), seed))
+                sizes.append(len(own))
+                prefixes.append(prefix(own, often, count).view(np.int64))
+            ends = np.append(0, np.cumsum([len(p) for p in prefixes])).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(np.array(items, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists], names=["doc_id", "tid", "item", "n", "prefix"])
+
+    return run
+
+
+def _sets(words: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array([item], pa.int64()), pa.array([shingle_set(text, words, seed).view(np.int64)], pa.list_(pa.int64()))], names=["item", "shingles"])
+
+    return run
+
+
+def _shared(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows (shingle, item) of shingles that several items have, each once; rows are sorted by both."""
+    shingle, item = table["shingle"].to_numpy(), table["item"].to_numpy()
+    once = group_starts(shingle, item)[:-1]
+    shingle, item = shingle[once], item[once]
+    starts = group_starts(shingle)
+    size = np.diff(starts)
+    keep = np.repeat(size > 1, size)
+    yield pa.RecordBatch.from_arrays([pa.array(shingle[keep]), pa.array(item[keep])], names=["shingle", "item"])
+
+
+def _unconnected(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The pairs a < b of each block whose sizes allow the similarity and that are in different components."""
+    starts = group_starts(*(table[k].to_numpy() for k in ("shingle", "block_lo", "block_hi")))
+    items, sizes, of = (table[k].to_numpy() for k in ("item", "n", "component"))
+    for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if hi - lo < 2 or (of[lo:hi] == of[lo]).all():
+            continue
+        step = max(1, PAIRS // (hi - lo))
+        item, n, c = items[lo:hi], sizes[lo:hi].astype(np.int64), of[lo:hi]
+        for x in range(0, hi - lo, step):
+            y = slice(x, x + step)
+            fit = (item[y, None] < item) & (c[y, None] != c) & (5 * n[y, None] >= 4 * n) & (5 * n >= 4 * n[y, None])
+            a, b = np.nonzero(fit)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(item[y][a]), pa.array(item[b])], names=["a", "b"])
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ok = np.zeros(batch.num_rows, bool)
+        left, right = batch.column("left"), batch.column("right")
+        for i in range(batch.num_rows):
+            p, q = left[i].values.to_numpy(), right[i].values.to_numpy()
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            ok[i] = 9 * both >= 4 * (len(p) + len(q))  # both / (p + q - both) >= 4/5
+        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
+
+
+def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
+    """(doc_id, tid, component, component_id) of each row: tid is xxhash64 of the text; the component's smallest item, and the
+    smallest doc_id reachable over pairs of similarity 4/5 or more."""
+    spark = docs.sparkSession
+    arrow_batches(spark)
+    texts = docs.select("doc_id", F.xxhash64("text").alias("tid"), "text")
+    counts = texts.where(F.pmod("tid", F.lit(SAMPLED)) == 0).select("text").distinct().mapInArrow(_sampled(words, seed), "shingle long")
+    often = counts.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT).toArrow()
+    frequent, n = often["shingle"].to_numpy().view(np.uint64), often["n"].to_numpy()
+    order = np.argsort(frequent)
+    known = spark.sparkContext.broadcast((frequent[order], n[order]))
+    rows = materialize(texts.mapInArrow(_items(words, seed, known), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, item long, n int, prefix array<long>"))
+
+    dealt = rows.select(F.explode("prefix").alias("shingle"), "item").repartition("shingle").sortWithinPartitions("shingle", "item")
+    shared = materialize(dealt.mapInArrow(per_group(["shingle"], _shared), "shingle long, item long"))
+    items = materialize(rows.groupBy("item").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.first("n").alias("n")))
+
+    first = shared.groupBy("shingle").agg(F.min("item").alias("a"))
+    fit = (5 * F.col("n") >= 4 * F.col("m")) & (5 * F.col("m") >= 4 * F.col("n"))
+    sizes = items.select(F.col("item").alias("a"), F.col("n").alias("m"))
+    stars = shared.join(first, "shingle").where("item <> a").select("a", F.col("item").alias("b")).distinct()
+    stars = materialize(stars.join(sizes, "a").join(items.select(F.col("item").alias("b"), "n"), "b").where(fit).select("a", "b"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).distinct()
+        of = materialize(items.join(wanted, "item").select("item", "tid"))
+        sets = materialize(texts.select("tid", "text").join(of, "tid").groupBy("item").agg(F.min("text").alias("text")).mapInArrow(_sets(words, seed), "item long, shingles array<long>"))
+        both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select("a", "b", "left", "right")
+        return materialize(both.mapInArrow(_similar, "a long, b long"))
+
+    vertices = items.select(F.col("item").alias("id"))
+    links = verified(stars)
+    found = components(vertices, links)
+    grouped = shared.join(items.select("item", "n"), "item").join(found.withColumnRenamed("id", "item"), "item")
+    # Groups that are connected already have no pair left.
+    mixed = materialize(grouped.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle"))
+    split = split_hot(grouped.join(mixed, "shingle").withColumn("salt", F.xxhash64("item")), ["shingle"], "salt", MOST_ROWS)
+    keys = ["shingle", "block_lo", "block_hi"]
+    pairs = spread(split.select(*keys, "item", "n", "component"), *keys).mapInArrow(per_group(keys, _unconnected), "a long, b long")
+    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+    found = components(vertices, links.union(verified(pairs)))
+
+    labelled = items.join(found, items["item"] == found["id"]).select("item", "least", "component")
+    named = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = materialize(labelled.join(named, "component").select("item", "component", "component_id"))
+    return rows.select("doc_id", "tid", "item").join(of, "item").select("doc_id", "tid", "component", "component_id")

@@ -1,5 +1,6 @@
 """The pipeline's stages on the operators' fixture."""
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -37,3 +38,29 @@ def test_stages(spark, tmp_path):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_near_dedup_links_every_pair_of_similarity_four_fifths(spark):
+    """Copies of a text with words changed, at 0.8 or more and below, against brute force; a passage in many texts links none."""
+    rng = random.Random(5)
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = []
+    for i in range(40):
+        base = [f"w{i}x{j}" for j in range(100 + i)]
+        rows.append(" ".join(base) + " " + passage)
+        for edits in (1, 2, 3, 4, 5, 7):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), edits):
+                copy[at] = f"e{rng.random()}"
+            rows.append(" ".join(copy) + " " + passage)
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in rows]
+    least = list(range(len(rows)))
+    pairs = [(a, b) for b in range(len(rows)) for a in range(b) if len(sets[a] & sets[b]) * 5 >= len(sets[a] | sets[b]) * 4]
+    for _ in rows:
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(rows)], SCHEMA)
+    kept = sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert pairs and kept == sorted({c for c in least}) and 40 < len(kept) < len(rows)
+    far = spark.createDataFrame([(None, rows[0], "en", "s", 0), (None, rows[1], "en", "s", 0), (None, "alone", "en", "s", 0)], SCHEMA)
+    assert corpus_pipeline.near_dedup(spark, far, "").count() == 2
