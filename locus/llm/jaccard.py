@@ -60,28 +60,36 @@ def _sampled(words: int, seed: int):
     return run
 
 
-def _items(words: int, seed: int, frequent):
+def _items(words: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingle_set(text, words, seed) for text in batch.column("text").to_pylist()]
+            items = np.array([xxhash.xxh64_intdigest(x.tobytes(), seed) for x in own], np.uint64)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(items.view(np.int64)), pa.array([len(x) for x in own], pa.int32())], names=["doc_id", "tid", "item", "n"])
+
+    return run
+
+
+def _prefixes(words: int, seed: int, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, count = frequent.value
         for batch in batches:
-            items, sizes, prefixes = [], [], []
-            for text in batch.column("text").to_pylist():
-                own = shingle_set(text, words, seed)
-                items.append(xxhash.xxh64_intdigest(own.tobytes(), seed))
-                sizes.append(len(own))
-                prefixes.append(prefix(own, often, count).view(np.int64))
-            ends = np.append(0, np.cumsum([len(p) for p in prefixes])).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tid"), pa.array(np.array(items, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), lists], names=["doc_id", "tid", "item", "n", "prefix"])
+            sets = [shingle_set(text, words, seed) for text in batch.column("text").to_pylist()]
+            items = np.array([xxhash.xxh64_intdigest(x.tobytes(), seed) for x in sets], np.uint64)
+            parts = [prefix(x, often, count) for x in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(parts).view(np.int64)), pa.array(np.repeat(items, [len(x) for x in parts]).view(np.int64))], names=["shingle", "item"])
 
     return run
 
 
 def _sets(words: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A text's set once for each first item a it is compared with; hub: it is that item itself."""
         for batch in batches:
-            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                yield pa.RecordBatch.from_arrays([pa.array([item], pa.int64()), pa.array([shingle_set(text, words, seed).view(np.int64)], pa.list_(pa.int64()))], names=["item", "shingles"])
+            for item, text, firsts in zip(*(batch.column(c).to_pylist() for c in ("item", "text", "firsts")), strict=True):
+                own = pa.array(shingle_set(text, words, seed).view(np.int64))
+                for a in firsts:
+                    yield pa.RecordBatch.from_arrays([pa.array([a], pa.int64()), pa.array([item], pa.int64()), pa.array([a != item]), pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)], names=["a", "b", "other", "shingles"])
 
     return run
 
@@ -115,13 +123,20 @@ def _unconnected(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows are sorted by (a, other): each a's own set comes first, then those it is compared with, one at a time."""
+    of, own = None, None
     for batch in batches:
+        a, other = batch.column("a").to_pylist(), batch.column("other").to_pylist()
         ok = np.zeros(batch.num_rows, bool)
-        left, right = batch.column("left"), batch.column("right")
         for i in range(batch.num_rows):
-            p, q = left[i].values.to_numpy(), right[i].values.to_numpy()
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            ok[i] = 9 * both >= 4 * (len(p) + len(q))  # both / (p + q - both) >= 4/5
+            shingles = batch.column("shingles")[i].values.to_numpy()
+            if not other[i]:
+                of, own = a[i], shingles.copy()
+                continue
+            if a[i] != of:
+                raise RuntimeError("a pair without its first text")
+            both = len(np.intersect1d(own, shingles, assume_unique=True))
+            ok[i] = 9 * both >= 4 * (len(own) + len(shingles))  # both / (p + q - both) >= 4/5
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
 
@@ -136,24 +151,34 @@ def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     frequent, n = often["shingle"].to_numpy().view(np.uint64), often["n"].to_numpy()
     order = np.argsort(frequent)
     known = spark.sparkContext.broadcast((frequent[order], n[order]))
-    rows = materialize(texts.mapInArrow(_items(words, seed, known), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, item long, n int, prefix array<long>"))
+    rows = materialize(texts.mapInArrow(_items(words, seed), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, item long, n int"))
 
-    dealt = rows.select(F.explode("prefix").alias("shingle"), "item").repartition("shingle").sortWithinPartitions("shingle", "item")
+    # Prefixes are not kept in a table: that would be disk, and the texts' hashing is cheaper.
+    dealt = texts.select("text").mapInArrow(_prefixes(words, seed, known), "shingle long, item long").repartition("shingle").sortWithinPartitions("shingle", "item")
     shared = materialize(dealt.mapInArrow(per_group(["shingle"], _shared), "shingle long, item long"))
     items = materialize(rows.groupBy("item").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.first("n").alias("n")))
 
     first = shared.groupBy("shingle").agg(F.min("item").alias("a"))
-    fit = (5 * F.col("n") >= 4 * F.col("m")) & (5 * F.col("m") >= 4 * F.col("n"))
-    sizes = items.select(F.col("item").alias("a"), F.col("n").alias("m"))
-    stars = shared.join(first, "shingle").where("item <> a").select("a", F.col("item").alias("b")).distinct()
-    stars = materialize(stars.join(sizes, "a").join(items.select(F.col("item").alias("b"), "n"), "b").where(fit).select("a", "b"))
+
+    def open_pairs(pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), a row for each shingle that both prefixes have: those that can reach the similarity. The text whose
+        prefix ends first has all else in common at most after its end."""
+        counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+        sizes = items.select(F.col("item").alias("a"), F.col("n").alias("m"))
+        counted = counted.join(sizes, "a").join(items.select(F.col("item").alias("b"), "n"), "b")
+        after = F.ceil(4 * F.greatest("m", "n") / 5) - 1
+        fit = (5 * F.col("n") >= 4 * F.col("m")) & (5 * F.col("m") >= 4 * F.col("n")) & (9 * (F.col("c") + after) >= 4 * (F.col("m") + F.col("n")))
+        return materialize(counted.where(fit).select("a", "b"))
+
+    # Counts of stars may lack shingles with another first item; a pair left out here comes up in the second round.
+    stars = open_pairs(shared.join(first, "shingle").where("item <> a").select("a", F.col("item").alias("b")))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.col("a").alias("item")).union(pairs.select("b")).distinct()
-        of = materialize(items.join(wanted, "item").select("item", "tid"))
-        sets = materialize(texts.select("tid", "text").join(of, "tid").groupBy("item").agg(F.min("text").alias("text")).mapInArrow(_sets(words, seed), "item long, shingles array<long>"))
-        both = pairs.join(sets.toDF("a", "left"), "a").join(sets.toDF("b", "right"), "b").select("a", "b", "left", "right")
-        return materialize(both.mapInArrow(_similar, "a long, b long"))
+        wanted = pairs.select(F.col("b").alias("item"), "a").union(pairs.select("a", "a").distinct().toDF("item", "a"))
+        of = materialize(items.join(wanted.groupBy("item").agg(F.collect_list("a").alias("firsts")), "item").select("item", "tid", "firsts"))
+        once = texts.select("tid", "text").join(of.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
+        sets = once.join(of, "tid").mapInArrow(_sets(words, seed), "a long, b long, other boolean, shingles array<long>")
+        return materialize(sets.repartition("a").sortWithinPartitions("a", "other").mapInArrow(_similar, "a long, b long"))
 
     vertices = items.select(F.col("item").alias("id"))
     links = verified(stars)
@@ -165,7 +190,7 @@ def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     keys = ["shingle", "block_lo", "block_hi"]
     pairs = spread(split.select(*keys, "item", "n", "component"), *keys).mapInArrow(per_group(keys, _unconnected), "a long, b long")
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = materialize(pairs.distinct().join(tried, ["a", "b"], "left_anti"))
+    pairs = materialize(open_pairs(pairs).join(tried, ["a", "b"], "left_anti"))
     found = components(vertices, links.union(verified(pairs)))
 
     labelled = items.join(found, items["item"] == found["id"]).select("item", "least", "component")
