@@ -20,10 +20,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has no letter of any language (`und`, null texts included) go; others keep all columns, lang filled in
-    from the prediction where it is null."""
+    """Documents whose text has no letter of any language (null texts included) go; others keep all columns, lang filled in from the
+    prediction where it is null: `und` if there is no language to learn."""
     found = identify(docs, docs, with_spans=False, keep=[c for c in COLUMNS if c != "doc_id"])
-    return found.where("lang_pred <> 'und'").select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
+    return found.where((F.col("lang_pred") != "und") | F.col("text").rlike(r"\p{L}")).select("doc_id", "text", F.coalesce("lang", "lang_pred").alias("lang"), "source", "n_chars")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

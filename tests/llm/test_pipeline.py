@@ -64,3 +64,8 @@ def test_near_dedup_links_every_pair_of_similarity_four_fifths(spark):
     assert pairs and kept == sorted({c for c in least}) and 40 < len(kept) < len(rows)
     far = spark.createDataFrame([(None, rows[0], "en", "s", 0), (None, rows[1], "en", "s", 0), (None, "alone", "en", "s", 0)], SCHEMA)
     assert corpus_pipeline.near_dedup(spark, far, "").count() == 2
+
+
+def test_language_id_keeps_texts_with_letters_when_no_language_is_known(spark):
+    docs = spark.createDataFrame([(1, "some words", None, "s", 10), (2, "日本語", None, "s", 3), (3, "12 34", None, "s", 5), (4, None, "en", "s", 0)], SCHEMA)
+    assert sorted((r.doc_id, r.lang) for r in corpus_pipeline.language_id(spark, docs, "").collect()) == [(1, "und"), (2, "und")]
