@@ -8,10 +8,12 @@ times the source, no rate exceeds `most`.
 
 Rates become whole copies: each document gets floor(rate) copies, and those that come first in a seeded hash order get one more,
 up to the point where the source's words come nearest to its target. That point is found in two levels: sums per (source, hash
-bucket), then an exact running sum inside one bucket per source, so no task ever holds a whole source.
+bucket), then an exact running sum inside one bucket per source, so no task ever holds a whole source. Equal rows are counted
+first, by partial aggregation, and share one place in the order; of the group at the end as many rows as come nearest get the copy.
 
-Defined results: null or blank text has size 0 and takes 0. A null source is a source of its own, last in order. Repeated rows are
-mixed each on its own but share a hash, hence a decision. An empty table gives an empty result. Extra columns are ignored.
+Defined results: null or blank text has size 0 and takes 0. A null source is a source of its own, last in order. Rows without a
+doc_id are told apart by their texts; repeated rows are documents of their own. Very long texts count like others, whole. An empty
+table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -62,43 +64,74 @@ def newton_rate(target: Column, size: Column) -> Column:
     return F.when((size > 0) & (target > 0), F.exp(F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), F.lit(0.0), step))).otherwise(F.lit(0.0))
 
 
-def mix(sizes: DataFrame, targets: DataFrame, seed: int = 7, most: float = 3.0) -> DataFrame:
-    """(doc_id, size, source_size, target, rate, copies, taken) for rows (doc_id, source, size) and (source, source_size, target).
+def order_key(seed: int, *columns: Column) -> Column:
+    """A row's place in the seeded order: a digest of these columns that other engines have too."""
+    named = [F.coalesce(F.concat(F.lit("v"), F.md5(c.cast("string").cast("binary"))), F.lit("n")) for c in columns]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *named).cast("binary"))
 
-    `sizes` should be cheap to read again (a table). Joins with the sources are null-safe; below 100,000 sources their table is
+
+def mix(rows: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
+    """Adds source_size, target, rate, whole and extra to groups of equal rows (source, size, n, k, ...) by the targets (source,
+    source_size, target): each of a group's n rows gets `whole` copies, `extra` of them one more. k is the groups' order.
+
+    `rows` should be cheap to read again (a table). Joins with the sources are null-safe; below 100,000 sources their table is
     broadcast (its rows are counted first), beyond that the join is a shuffle, where AQE splits hot sources.
     """
-    # 60 bits of a digest that other engines have too; rows without doc_id share one.
-    digest = F.md5(F.concat(F.lit(f"{seed}|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))).cast("binary"))
-    rows = sizes.withColumn("h", F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")).withColumn("bucket", F.shiftright("h", 48).cast("int"))
+    rows = rows.withColumn("_bucket", F.conv(F.substring("k", 1, 3), 16, 10).cast("int"))
     bounded = targets.limit(100_001).count() <= 100_000
     hint = F.broadcast if bounded else (lambda x: x)
-    rates = materialize(targets.withColumn("rate", F.least(F.lit(float(most)), newton_rate(F.col("target"), F.col("source_size").cast("double")))))
-    rates = rates.withColumn("whole", F.floor(F.col("rate") + 1e-9).cast("long")).withColumn("need", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size")))
+    rates = targets.withColumn("rate", F.least(F.lit(float(most)), newton_rate(F.col("target"), F.col("source_size").cast("double"))))
+    rates = rates.withColumn("whole", F.floor(F.col("rate") + 1e-9).cast("long"))
+    rates = materialize(rates.withColumn("_need", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))))
     # Level 1: the bucket in which the extra copies end.
-    sums = rows.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
-    by_source = Window.partitionBy("source").orderBy("bucket")
-    upto = sums.withColumn("done", F.sum("n").over(by_source) - F.col("n")).join(hint(rates.select(F.col("source").alias("s"), "need")), F.col("source").eqNullSafe(F.col("s")))
-    edge = upto.where("done <= need").groupBy("source").agg(F.max_by(F.struct("bucket", "done"), "bucket").alias("e"))
-    edge = materialize(edge.select(F.col("source").alias("s"), F.col("e.bucket").alias("edge"), F.col("e.done").alias("done")))
-    plan = hint(rates.join(hint(edge), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "key"))
-    planned = rows.join(plan, F.col("source").eqNullSafe(F.col("key")), "left")
-    # Level 2: inside that bucket, the prefix whose words come nearest to what is needed.
-    upto_row = Window.partitionBy("source").orderBy("h").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = rows.join(plan, F.col("source").eqNullSafe(F.col("key")) & (F.col("bucket") == F.col("edge"))).withColumn("sum", F.col("done") + F.sum("size").over(upto_row))
-    cut = inside.groupBy("source").agg(F.min(F.struct(F.abs(F.col("sum") - F.col("need")), "h", "sum")).alias("c"), F.first("need").alias("n0"), F.first("done").alias("d0"))
-    cut = cut.select(F.col("source").alias("k2"), F.when(F.abs(F.col("c.sum") - F.col("n0")) <= F.abs(F.col("d0") - F.col("n0")), F.col("c.h")).alias("last"))
-    out = planned.join(hint(cut), F.col("source").eqNullSafe(F.col("k2")), "left")
-    extra = (F.col("need") > 0) & ((F.col("bucket") < F.col("edge")) | ((F.col("bucket") == F.col("edge")) & (F.col("h") <= F.col("last"))))
-    copies = F.least(F.lit(int(most)), F.col("whole") + F.when(F.coalesce(extra, F.lit(False)), 1).otherwise(0)).cast("long")
-    return out.select("doc_id", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    sums = rows.groupBy("source", "_bucket").agg(F.sum(F.col("size") * F.col("n")).alias("words"))
+    by_source = Window.partitionBy("source").orderBy("_bucket")
+    upto = sums.withColumn("done", F.sum("words").over(by_source) - F.col("words")).join(hint(rates.select(F.col("source").alias("s"), "_need")), F.col("source").eqNullSafe(F.col("s")))
+    edge = upto.where("done <= _need").groupBy("source").agg(F.max_by(F.struct("_bucket", "done"), "_bucket").alias("e"))
+    edge = materialize(edge.select(F.col("source").alias("s"), F.col("e._bucket").alias("_edge"), F.col("e.done").alias("_done")))
+    plan = hint(rates.join(hint(edge), F.col("source").eqNullSafe(F.col("s")), "left").drop("s").withColumnRenamed("source", "_source"))
+    # Level 2: inside that bucket, the group up to which, and the rows of it with which, the words come nearest to the need.
+    before = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    inside = rows.select("source", "size", "n", "k", "_bucket").join(plan, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_edge")))
+    rest = F.col("_need") - F.col("_done") - F.coalesce(F.sum(F.col("size") * F.col("n")).over(before), F.lit(0))
+    cut = inside.withColumn("_rest", rest).where("_rest > 0 and size > 0").groupBy("source").agg(F.max(F.struct("k", "size", "n", "_rest")).alias("c"))
+    some = F.least(F.col("c.n"), F.floor(F.col("c._rest") / F.col("c.size") + 0.5).cast("long"))
+    cut = materialize(cut.select(F.col("source").alias("_cut"), F.col("c.k").alias("_last"), some.alias("_some")))
+    out = rows.join(plan, F.col("source").eqNullSafe(F.col("_source")), "left").join(hint(cut), F.col("source").eqNullSafe(F.col("_cut")), "left")
+    upto = F.when(F.col("_bucket") < F.col("_edge"), F.col("n")).when(F.col("_bucket") > F.col("_edge"), 0).when(F.col("k") < F.col("_last"), F.col("n")).when(F.col("k") == F.col("_last"), F.col("_some")).otherwise(0)
+    extra = F.when((F.col("_need") > 0) & (F.col("size") > 0) & (F.col("whole") < F.lit(int(most))), upto).otherwise(0).cast("long")
+    return out.withColumn("extra", extra).drop("_bucket", "_source", "_need", "_edge", "_done", "_cut", "_last", "_some")
+
+
+def by_weight(rows: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> DataFrame:
+    """`mix` of groups of equal rows, targets by `targets_by_weight`."""
+    sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
+    return mix(rows, materialize(targets_by_weight(sources, weights, most)), most)
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7) -> DataFrame:
-    """`mix` of documents (doc_id, source, text): sizes are words, targets by `targets_by_weight`."""
-    sizes = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")))
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    return mix(sizes, targets_by_weight(sources, weights, most), seed, most)
+    """(doc_id, size, source_size, target, rate, copies, taken) of each row of documents (doc_id, source, text)."""
+    k = order_key(seed, F.col("doc_id"), F.col("text"))
+    groups = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), k.alias("k")).groupBy("doc_id", "source", "size", "k").agg(F.count(F.lit(1)).alias("n"))
+    mixed = by_weight(materialize(groups), weights, most)
+    one = mixed.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    copies = F.col("whole") + F.when(F.col("_i") <= F.col("extra"), 1).otherwise(0)
+    return one.select("doc_id", "size", "source_size", "target", "rate", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def repeat_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it."""
+    columns = docs.columns
+    keyed = docs.withColumn("k", order_key(seed, *[F.col(c) for c in columns]))
+    # Equal rows have equal digests of all columns: one of them stands for all.
+    counted = keyed.select("k", "source", n_words(F.col("text")).alias("size")).groupBy("k", "source", "size").agg(F.count(F.lit(1)).alias("n"))
+    mixed = by_weight(materialize(counted), weights, most)
+    total = (F.col("n") * F.col("whole") + F.col("extra")).cast("long")
+    taken = materialize(mixed.select("k", "n", total.alias("total")).where("total > 0"))
+    once = keyed.join(taken, "k")
+    single = once.where("n = 1")
+    several = once.where("n > 1").dropDuplicates(["k"])
+    return single.unionByName(several).withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("total")))).select(*columns)
 
 
 def op2_mixing(spark, sf_dir: str) -> DataFrame:
@@ -106,18 +139,18 @@ def op2_mixing(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-#: The same rows in DuckDB: water level in closed form, rates as target / source size, the prefix nearest to what is needed.
+#: The same rows in DuckDB: water level in closed form, rates as target / source size, the rows nearest to what is needed.
 OP2_SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-  CAST('0x' || substr(md5('7|' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 15) AS BIGINT) AS h FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+WITH g AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+  md5('7|' || coalesce('v' || md5(CAST(doc_id AS VARCHAR)), 'n') || '|' || coalesce('v' || md5(text), 'n')) AS k FROM documents),
+d AS (SELECT doc_id, source, size, k, count(*) AS n FROM g GROUP BY ALL),
+s AS (SELECT source, CAST(sum(size * n) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (row_number() OVER (ORDER BY source IS NULL, encode(coalesce(source, ''))) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, source_size * 3.0::DOUBLE AS cap FROM s),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
 t AS (SELECT source, source_size, least(cap, (SELECT arg_min(level, (cap / weight, source IS NULL, source)) FROM l WHERE level * weight <= cap) * weight) AS target FROM l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(least(3.0, target / source_size) + 1e-9) ELSE 0 END AS whole FROM t),
-n AS (SELECT *, greatest(0, target - whole * source_size) AS need FROM r),
-p AS (SELECT d.*, n.source_size, n.target, n.whole, n.need, sum(size) OVER (PARTITION BY d.source ORDER BY h RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source),
-c AS (SELECT source, min((abs(upto - need), h)) AS best, any_value(need) AS none FROM p GROUP BY source),
-o AS (SELECT p.*, least(3, whole + CASE WHEN need > 0 AND c.best[1] <= c.none AND p.h <= c.best[2] THEN 1 ELSE 0 END) AS k FROM p JOIN c ON p.source IS NOT DISTINCT FROM c.source)
-SELECT doc_id, size, source_size, target, CAST(k * size AS BIGINT) AS taken, CAST(k AS BIGINT) AS copies FROM o
+p AS (SELECT d.*, r.source_size, r.target, r.whole, greatest(0, r.target - r.whole * r.source_size) - (sum(d.size * d.n) OVER (PARTITION BY d.source ORDER BY k) - d.size * d.n) AS rest FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+o AS (SELECT *, CASE WHEN rest > 0 AND size > 0 AND whole < 3 THEN least(n, floor(rest / size + 0.5)) ELSE 0 END AS extra FROM p),
+e AS (SELECT *, unnest(generate_series(1, n)) AS i FROM o)
+SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN i <= extra THEN 1 ELSE 0 END) * size AS BIGINT) AS taken, CAST(whole + CASE WHEN i <= extra THEN 1 ELSE 0 END AS BIGINT) AS copies FROM e
 """
