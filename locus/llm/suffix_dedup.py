@@ -4,7 +4,7 @@ Suffixes are compared to a depth of `length` bytes, bucket by bucket, and equal
 bucket. A suffix's bucket is its anchor: the leftmost smallest hash among the 32-byte strings in its first `length` bytes; equal
 suffixes have equal anchors, and neighbouring suffixes with one anchor are one run (about 2 runs per `length` bytes), which is all
 that is shuffled. Runs that are equal as a whole decide all their suffixes. Other runs of a bucket are resolved only if they agree
-with another one on 200 bytes to either side of the anchor; then their bytes (at most 2 x length) meet and every suffix is compared.
+with another one on half of `length` to either side of the anchor; then their bytes (at most 2 x length) meet and every suffix is compared.
 
 This replaces the difference-cover suffix order: a cover sample of these texts, at the sparsest period that resolves 400 bytes
 (18 of 307 positions), is ten times as many rows as the runs. See the README.
@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 from .common import arrow_batches, group_starts, materialize, per_group, spread, text_buffer
 
 ANCHOR = 32
-#: Bytes from the anchor on, or up to its end, that two runs must share to be compared.
-SIDE = 200
 PIECE = 1 << 19
 #: Runs of a bucket that are compared in one block.
 MOST_ROWS = 24_576
@@ -107,18 +105,20 @@ def _runs(length: int):
                 if not len(start):
                     continue
                 part = data[a:b]
-                gram, half, full = string_hashes(part, ANCHOR, 128, length)
+                side = length // 2  # bytes from the anchor on, or up to its end, that two runs must share to be compared
+                part_of = 1 << (side.bit_length() - 1)
+                gram, half, full = string_hashes(part, ANCHOR, part_of, length)
                 key = (gram & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(gram), dtype=np.uint64)
                 anchor = (window_minima(key, length - ANCHOR + 1)[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
                 cut = group_starts(anchor, of)
                 s, e = start[cut[:-1]], start[cut[1:] - 1]
                 where, doc = anchor[cut[:-1]], of[cut[:-1]]
                 whole = _join(_join(full[s], full[e], 13), (e - s).astype(np.uint64), 14) ^ (where - s).astype(np.uint64)
-                right_ok, left_ok = where + SIDE <= e + length, where - (SIDE - ANCHOR) >= s
+                right_ok, left_ok = where + side <= e + length, where - (side - ANCHOR) >= s
                 last = len(half) - 1
                 w = np.minimum(where, last)
-                right = _join(half[w], half[np.minimum(where + SIDE - 128, last)], 13)
-                left = _join(half[np.minimum(np.maximum(where - (SIDE - ANCHOR), 0), last)], half[np.minimum(np.maximum(where + ANCHOR - 128, 0), last)], 15)
+                right = _join(half[w], half[np.minimum(where + side - part_of, last)], 13)
+                left = _join(half[np.minimum(np.maximum(where - (side - ANCHOR), 0), last)], half[np.minimum(np.maximum(where + ANCHOR - part_of, 0), last)], 15)
                 shift = a - offsets[doc]
                 rows = pa.array(doc)
                 yield pa.RecordBatch.from_arrays(
@@ -239,8 +239,8 @@ def _salted(keyed: DataFrame) -> DataFrame:
 def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, rid, s, e): spans of starts s..e of `length`-byte strings that also start elsewhere, for rows (doc_id, rid, text);
     rid is a hash of the row's doc_id and text, so that repeated rows share what is found."""
-    if not 2 * SIDE <= length <= 400:
-        raise ValueError("length must be 400")
+    if length < 4 * ANCHOR:
+        raise ValueError(f"length must be {4 * ANCHOR} or more")
     spark = rows.sparkSession
     arrow_batches(spark)
     kind = rows.schema["doc_id"].dataType.simpleString()
