@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from locus.llm.bpe import encode_decode
 from locus.llm.common import materialize
-from locus.llm.jaccard import near_texts
+from locus.llm.similar import near_texts
 from locus.llm.language_id import identify
-from locus.llm.mixing import mix_documents
+from locus.llm.mixing import repeat_documents
 from locus.llm.suffix_dedup import remove_repeats
 
+#: Bytes of the strings that count as a repeated passage: fifty words of the shortest language take more (267 and up were seen).
+PASSAGE = 256
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
@@ -27,27 +29,29 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (Jaccard similarity of five-word shingles 0.8 or more) stays: the one with the
-    smallest doc_id; of repeated rows one stays. Rows without doc_id stay only where their whole group has none, one for each group."""
-    labelled = materialize(near_texts(docs, words=5))
-    kept = materialize(labelled.where("doc_id = component_id").select("doc_id").distinct())
-    first = docs.join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    nameless = docs.where("doc_id is null").select(*COLUMNS)
-    stay = labelled.where("component_id is null").groupBy("component").agg(F.min("tid").alias("tid")).select("tid")
-    return first.unionByName(nameless.join(stay, F.xxhash64("text") == F.col("tid"), "left_semi").dropDuplicates(["text"]))
+    """One document of each group of near duplicates (SimHash candidates of Jaccard similarity 0.8 or more in five-word shingles)
+    stays: the one with the smallest doc_id, among several texts under it the one with the smallest hash, among equal ones the one
+    with the smallest lang, source and n_chars (nulls first). A row without doc_id stays only where its whole group has none."""
+    labelled = near_texts(docs, words=5)
+    first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tid")).alias("f"))
+    kept = materialize(first.select("f.*").distinct())
+    # Rows are counted down to one an id and text before the join, on its keys.
+    keyed = docs.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("tid"), *COLUMNS)
+    once = keyed.groupBy("none", "id", "tid").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r"), F.first("text").alias("text"))
+    return once.join(kept, ["none", "id", "tid"]).select(F.when(~F.col("none"), F.col("id")).alias("doc_id"), "text", "r.lang", "r.source", "r.n_chars")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of strings of 400 bytes that occur elsewhere go; documents of which nothing is left go."""
-    left = remove_repeats(docs.select(*COLUMNS)).where("n_removed < n_bytes or n_bytes = 0")
+    """Bytes of strings of PASSAGE bytes that also start elsewhere in the documents go; documents of which nothing is left go. A
+    null text becomes empty and stays; n_chars counts what is left."""
+    left = remove_repeats(docs.select(*COLUMNS), length=PASSAGE).where("n_removed < n_bytes or n_bytes = 0")
     return left.select("doc_id", "text", "lang", "source", F.char_length("text").cast("long").alias("n_chars"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document is repeated as often as the mix takes it; documents that it does not take go."""
-    taken = materialize(mix_documents(docs).where("copies > 0").select("doc_id", "copies"))
-    joined = docs.join(taken.distinct(), docs["doc_id"].eqNullSafe(taken["doc_id"])).drop(taken["doc_id"])
-    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    """Each document is repeated as often as the mix takes it; documents that it does not take (those without words among them) go.
+    Rows without doc_id and repeated rows are documents of their own."""
+    return repeat_documents(docs.select(*COLUMNS))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
