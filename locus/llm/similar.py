@@ -92,9 +92,13 @@ def _candidates(table: pa.Table) -> Iterator[pa.RecordBatch]:
     group, fp, item = group[order], fp[order], item[order]
     a, b = links(group, fp, RADIUS, thin=True)
     if len(a):
+        # A tree's links go to its smallest item, so that the links of one cluster's many groups are mostly the same.
         root = forest(a, b)
-        rest = np.flatnonzero(root != np.arange(len(root)))
-        yield pa.RecordBatch.from_arrays([pa.array(item[root[rest]]), pa.array(item[rest])], names=["a", "b"])
+        least = item[: len(root)].copy()
+        np.minimum.at(least, root, item[: len(root)])
+        first, own = least[root], item[: len(root)]
+        rest = first != own
+        yield pa.RecordBatch.from_arrays([pa.array(first[rest]), pa.array(own[rest])], names=["a", "b"])
 
 
 def _sets(words: int, seed: int):
@@ -169,7 +173,7 @@ def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     vertices = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
     clusters = materialize(components(vertices, near).withColumnRenamed("component", "cluster"))
     members = items.join(clusters, items["item"] == clusters["id"]).select("item", "tid", "fp", "cluster")
-    once = texts.select("tid", "text").join(members.select("tid"), "tid", "left_semi").groupBy("tid").agg(F.first("text").alias("text"))
+    once = texts.groupBy("tid").agg(F.first("text").alias("text")).join(members.select("tid"), "tid", "left_semi")
     sets = once.mapInArrow(_sets(words, seed), "tid long, shingles array<long>")
     sized = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / MOST_SETS).cast("int").alias("parts"))
     held = materialize(members.join(sized, "cluster").join(sets, "tid").withColumn("salt", F.xxhash64("item")))
