@@ -6,8 +6,9 @@ one 16-bit part of the signature. Because order counts, likeness (the share of e
 set of k-mers.
 
 Defined results: null text counts as empty. Texts below k code points have one element, the text itself. Empty texts have the
-fingerprint of no element (all zeros), so two empty texts are alike 1.0. Equal texts have equal fingerprints, wherever they are.
-Very long texts are handled in bounded chunks. Extra columns are ignored.
+fingerprint of no element (all zeros), so two empty texts are alike 1.0. Equal texts have equal fingerprints, wherever they are;
+repeated rows follow one another. Rows with a null doc_id come first. A single row follows itself. An empty table gives an empty
+result. Very long texts are handled in bounded chunks. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches
+from .common import arrow_batches, materialize
 
 K = 8
 M = 64
@@ -89,87 +90,72 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
-def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, doc_id, text): each row's next in its bucket follows; a bucket's last row is a copy of the next
-    bucket's first and is only looked at."""
-    before = None
-    empty = signature(np.zeros(0, np.uint32))
+#: Columns of a result row; an edge row (one a partition) also has the partition's number and its first and last text.
+RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+KINDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
-    def fresh() -> list[list]:
-        return [[] for _ in range(7)]
 
-    out = fresh()
+def compared(text: str, sign: np.ndarray, after: str, after_sign: np.ndarray) -> tuple:
+    """A result row's columns but its doc_id, for a text and the next one."""
+    half = len(text) // 2
+    edited = text[: len(text) - half] + after[:half]
+    edited_sign = signature(code_points(edited))
+    digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
+    return len(text), digest, sign.tobytes().hex(), edited_sign.tobytes().hex(), float((sign == edited_sign).mean()), float((sign == after_sign).mean())
 
-    def batch_of(rows: list[list]) -> pa.RecordBatch:
-        kinds = [None, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k or id_kind) for v, k in zip(rows, kinds, strict=True)], names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
+def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition in order: a result for all but the last one, then an edge row."""
+    first = last = None
     with np.errstate(over="ignore"):
         for batch in batches:
-            id_kind = batch.column("doc_id").type
-            for bucket, doc_id, text in zip(batch.column("bucket").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            rows, kind = [], batch.column("doc_id").type
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 text = text or ""
-                cp = code_points(text)
-                sign = signature(cp) if len(cp) else empty
-                if before is not None and before[0] == bucket:
-                    _, last_id, last_text, last_cp, last_sign = before
-                    half = len(last_text) // 2
-                    edited = last_text[: len(last_text) - half] + text[:half]
-                    edited_sign = signature(np.concatenate([last_cp[: len(last_cp) - half], cp[:half]]))
-                    row = (last_id, len(last_text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), last_sign.tobytes().hex(), edited_sign.tobytes().hex(), float((last_sign == edited_sign).mean()), float((last_sign == sign).mean()))
-                    for v, x in zip(out, row, strict=True):
-                        v.append(x)
-                before = (bucket, doc_id, text, cp, sign)
-            if out[0]:
-                yield batch_of(out)
-                out = fresh()
-
-
-def fingerprints(docs: DataFrame, rows_per_bucket: int = 2000) -> DataFrame:
+                sign = signature(code_points(text))
+                if last is None:
+                    first = text
+                else:
+                    rows.append((last[0], *compared(last[1], last[2], text, sign)))
+                last = doc_id, text, sign
+            part = batch.column("part")[0].as_py() if batch.num_rows else 0
+            if rows:
+                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [kind, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2], strict=True)]
+                yield pa.RecordBatch.from_arrays([*values, pa.nulls(len(rows), pa.int32()), *[pa.nulls(len(rows), pa.string())] * 2], names=[*RESULT, "part", "first", "last"])
+        if last is not None:
+            values = [pa.array([last[0]], kind), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.string())] * 3, *[pa.nulls(1, pa.float64())] * 2]
+            yield pa.RecordBatch.from_arrays([*values, pa.array([part], pa.int32()), pa.array([first]), pa.array([last[1]])], names=[*RESULT, "part", "first", "last"])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last row of a partition with the first text of the next partition that has rows."""
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            rows = [compared(text, signature(code_points(text)), after, signature(code_points(after))) for text, after in zip(batch.column("last").to_pylist(), batch.column("after").to_pylist(), strict=True)]
+            if rows:
+                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *values], names=RESULT)
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row (doc_id, text).
 
-    "Next" is the next row by (doc_id, text), the first after the last. Texts are shuffled once, by ranges of doc_id whose bounds
-    come from approximate quantiles of the ids alone; the first row of each range is also sent to the range before it. Rows with a
-    null doc_id come first.
+    "Next" is the next row by (doc_id, hash of the text), nulls first, the first row after the last. Texts are shuffled once, by
+    ranges of that order, so that rows with one doc_id (or none) need not share a range. A partition's last row meets the next
+    partition's first text by a join on partition numbers; the numbers alone are ordered in one task.
     """
-    spark = docs.sparkSession
-    arrow_batches(spark)
-    rows = docs.select("doc_id", "text")
-    n = rows.select("doc_id").count()
-    if not n:
-        return spark.createDataFrame([], f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-    # The number of ranges follows the input; their bounds are ids, so only this one column is read for them.
-    buckets = max(1, min(n // rows_per_bucket, 4096))
-    marks = rows.select("doc_id").where("doc_id is not null").agg(F.percentile_approx("doc_id", [i / buckets for i in range(1, buckets)] or [0.5], 10 * buckets + 1000).alias("q")).first()["q"] if buckets > 1 else []
-    bounds = sorted(set(marks or []))
-    dealt = rows.withColumn("bucket", F.coalesce(_rank_among(bounds, "doc_id"), F.lit(0)))
-    # The first row of each range: its smallest id, then its smallest text.
-    least = dealt.groupBy("bucket").agg(F.min("doc_id").alias("first_id"), F.max(F.col("doc_id").isNull()).alias("has_null"))
-    first_ids = {r["bucket"]: None if r["has_null"] else r["first_id"] for r in least.collect()}  # as many rows as ranges
-    order = sorted(first_ids)
-    before = {b: order[i - 1] for i, b in enumerate(order)}  # the first range's first row follows the last range
-    ids = [x for x in first_ids.values() if x is not None]
-    wanted = F.col("doc_id").isin(ids) if None not in first_ids.values() else F.col("doc_id").isin(ids) | F.col("doc_id").isNull()
-    tails = dealt.where(wanted).groupBy("bucket", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    to = F.create_map(*[F.lit(x) for b in order for x in (b, before[b])])
-    tails = tails.select("doc_id", "text", to[F.col("bucket")].alias("bucket"), F.lit(1).alias("tail"))
-    both = dealt.select("doc_id", "text", "bucket", F.lit(0).alias("tail")).union(tails)
+    arrow_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = max(1, len(order))
-    sorted_rows = both.repartition(parts, "bucket").sortWithinPartitions("bucket", "tail", F.col("doc_id").asc_nulls_first(), F.coalesce("text", F.lit("")))
-    return sorted_rows.mapInArrow(_run, f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
-
-
-def _rank_among(bounds: list, column: str):
-    """How many bounds are at most the value, by binary search in one expression."""
-
-    def search(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(column) < F.lit(bounds[mid]), search(lo, mid)).otherwise(search(mid + 1, hi))
-
-    return F.when(F.col(column).isNull(), F.lit(0)).otherwise(search(0, len(bounds)) if len(bounds) <= 64 else F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(column))))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("tid").asc()]
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("tid")).repartitionByRange(*order).sortWithinPartitions(*order)
+    numbered = rows.select("doc_id", "text", F.spark_partition_id().alias("part"))
+    found = materialize(numbered.mapInArrow(_inside, f"doc_id {kind}, {KINDS}, part int, first string, last string"))
+    edges = found.where("part is not null")
+    in_order = Window.orderBy("part")
+    numbers = edges.select("part").withColumn("next", F.coalesce(F.lead("part").over(in_order), F.min("part").over(in_order)))
+    firsts = edges.select(F.col("part").alias("next"), F.col("first").alias("after"))
+    across = edges.select("doc_id", "last", "part").join(numbers, "part").join(firsts, "next").select("doc_id", "last", "after")
+    return found.where("part is null").select(*RESULT).unionByName(across.mapInArrow(_across, f"doc_id {kind}, {KINDS}"))
 
 
 def op3_fingerprints(spark, sf_dir: str) -> DataFrame:
