@@ -3,12 +3,13 @@ probabilities of the categories before it. In training those come from out-of-fo
 probabilities as unsure as the ones they will get.
 
 Features are words and word beginnings of 4 to 6 letters (stems, whatever the language's endings), chosen by their log-odds for
-each category. Models are fitted on a bounded sample of labelled documents (`most_rows`, those with the smallest hash of their id);
+each category; for out-of-fold predictions they are chosen without the fold that is predicted, too. Models are fitted on a bounded sample of labelled documents (`most_rows`, those with the smallest hash of their id);
 all documents are scored.
 
 Defined results: null text or text without letters scores as no feature at all. Labelled rows whose label is null are left out of
 that category. Without labels, or with one class only, a category's probability is its share of ones (0 without labels). Repeated
-rows and equal texts get equal probabilities. Extra columns are ignored.
+rows and equal texts get equal probabilities. Very long texts are read whole. Ties among features go to the one that sorts first.
+An empty table gives an empty result. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,21 +39,23 @@ def stems(word: str) -> list[str]:
 
 def document_counts(categories: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(feature, docs, ones): documents with a feature, and of them those labelled one by category; summed by partition."""
-        docs: Counter = Counter()
-        ones = [Counter() for _ in categories]
+        """(feature, fold, docs, ones): documents with a feature, and of them those labelled one by category; summed by partition."""
+        docs = [Counter() for _ in range(FOLDS)]
+        ones = [[Counter() for _ in categories] for _ in range(FOLDS)]
         for batch in batches:
             labels = [batch.column(c).to_pylist() for c in categories]
+            folds = batch.column("fold").to_pylist()
             for i, text in enumerate(batch.column("text").to_pylist()):
                 found = {s for w in set(WORD.findall((text or "").lower())) for s in stems(w)}
-                docs.update(found)
-                for of, label in zip(ones, labels, strict=True):
+                docs[folds[i]].update(found)
+                for of, label in zip(ones[folds[i]], labels, strict=True):
                     if label[i]:
                         of.update(found)
-        names = list(docs)
-        for a in range(0, len(names), 50_000):
-            part = names[a : a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([docs[x] for x in part], pa.int64()), *[pa.array([of[x] for x in part], pa.int64()) for of in ones]], names=["feature", "docs", *[f"ones{k}" for k in range(len(categories))]])
+        for fold in range(FOLDS):
+            names = list(docs[fold])
+            for a in range(0, len(names), 50_000):
+                part = names[a : a + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([fold] * len(part), pa.int32()), pa.array([docs[fold][x] for x in part], pa.int64()), *[pa.array([of[x] for x in part], pa.int64()) for of in ones[fold]]], names=["feature", "fold", "docs", *[f"ones{k}" for k in range(len(categories))]])
 
     return run
 
@@ -109,18 +112,19 @@ def logistic(x: np.ndarray, y: np.ndarray, steps: int = 25, ridge: float = 1.0)
     return w / spread
 
 
-def fit_chain(x: np.ndarray, labels: list[np.ndarray], folds: np.ndarray) -> list[np.ndarray]:
-    """Weights of each category's model: earlier categories' log-odds stand before the features. NaN labels are left out."""
+def fit_chain(x: np.ndarray, labels: list[np.ndarray], folds: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Weights of each category's model: earlier categories' probabilities stand before the features. NaN labels are left out.
+    columns: those of x that a model may see if it is to predict a fold, by fold, and at last those of the final models."""
     models, before = [], np.zeros((len(x), 0))
     for k, y in enumerate(labels):
-        full = np.concatenate([before, x], axis=1)
         ok = ~np.isnan(y)
-        models.append(logistic(full[ok], y[ok]))
+        models.append(logistic(np.concatenate([before, x[:, columns[FOLDS]]], axis=1)[ok], y[ok]))
         if k + 1 < len(labels):
             unseen = np.zeros(len(x))
             for fold in range(FOLDS):
                 part = folds == fold
                 if part.any():
+                    full = np.concatenate([before, x[:, columns[fold]]], axis=1)
                     unseen[part] = full[part] @ logistic(full[ok & ~part], y[ok & ~part])
             before = np.concatenate([before, sigmoid(unseen)[:, None]], axis=1)
     return models
@@ -155,37 +159,46 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: list[str], most_row
     labelled = labels.where("doc_id is not null").groupBy("doc_id").agg(*[F.max(F.col(c).cast("double")).alias(n) for c, n in zip(categories, names, strict=True)])
     sample = labelled.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(most_rows)
     sample = spark.createDataFrame(sample.toArrow()) if sample.limit(1).count() else sample  # at most most_rows short rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    fold = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(FOLDS)).cast("int")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample.withColumn("fold", fold)), "doc_id")
     ones = ", ".join(f"ones{k} long" for k in range(len(categories)))
-    counted = texts.select("text", *names).mapInArrow(document_counts(names), f"feature string, docs long, {ones}")
-    summed = counted.groupBy("feature").agg(F.sum("docs").alias("docs"), *[F.sum(f"ones{k}").alias(f"ones{k}") for k in range(len(categories))]).where("docs >= 4").persist()
-    totals = texts.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).first()
-    chosen: set[str] = set()
-    for k, n in enumerate(names):
-        # Features that speak for the rarer label (what speaks for the other is everywhere and says little), by log-odds shrunk as
-        # if one more document of the other label had each: documents that all are of one label count by their number.
-        a, b = F.col(f"ones{k}"), F.col("docs") - F.col(f"ones{k}")
-        rare, other = (a, b) if totals[n] * 2 <= totals["n"] else (b, a)
-        odds = F.log((rare + 0.1) / (other + 1.0))
-        chosen.update(r[0] for r in summed.where(rare >= 4).orderBy(odds.desc(), "feature").limit(FEATURES).select("feature").collect())
+    counted = texts.select("text", "fold", *names).mapInArrow(document_counts(names), f"feature string, fold int, docs long, {ones}")
+    counts = ["docs", *[f"ones{k}" for k in range(len(categories))]]
+    without = [F.sum(F.when(F.col("fold") != f, F.col(c)).otherwise(0)).alias(f"{c}_{f}") for c in counts for f in range(FOLDS)]
+    summed = counted.groupBy("feature").agg(*[F.sum(c).alias(f"{c}_{FOLDS}") for c in counts], *without).where(f"docs_{FOLDS} >= 4").persist()
+    totals = texts.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(n), F.lit(0.0)).alias(n) for n in names]).collect()
+    chosen: list[set[str]] = []
+    for f in range(FOLDS + 1):
+        # Without fold f; at last with all. Features that speak for the rarer label (what speaks for the other is everywhere and says
+        # little), by log-odds shrunk as if one more document of the other label had each: documents that all are of one label
+        # count by their number.
+        known = [r for r in totals if r["fold"] != f]
+        chosen.append(set())
+        for k, n in enumerate(names):
+            a, b = F.col(f"ones{k}_{f}"), F.col(f"docs_{f}") - F.col(f"ones{k}_{f}")
+            rare, other = (a, b) if sum(r[n] for r in known) * 2 <= sum(r["n"] for r in known) else (b, a)
+            odds = F.log((rare + 0.1) / (other + 1.0))
+            chosen[f].update(r[0] for r in summed.where(rare >= 4).orderBy(odds.desc(), "feature").limit(FEATURES).select("feature").collect())
     summed.unpersist()
-    place = {f: i for i, f in enumerate(sorted(chosen))}
-    # One row per sampled document, of features that occur: at most most_rows x FEATURES x categories numbers.
+    place = {x: i for i, x in enumerate(sorted(set().union(*chosen)))}
+    # One row per sampled document, of features that occur: at most most_rows x FEATURES x categories x (FOLDS + 1) numbers.
     shared = spark.sparkContext.broadcast(place)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = feature_rows(batch.column("text").to_pylist(), shared.value)
             at = [np.flatnonzero(r).astype(np.int32) for r in x]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[batch.column(n) for n in names], pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(x, at, strict=True)], pa.list_(pa.float32()))], names=["doc_id", *names, "at", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("fold"), *[batch.column(n) for n in names], pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(x, at, strict=True)], pa.list_(pa.float32()))], names=["doc_id", "fold", *names, "at", "x"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = sorted(texts.select("doc_id", *names, "text").mapInArrow(sparse, f"doc_id {kind}, {', '.join(n + ' double' for n in names)}, at array<int>, x array<float>").toArrow().to_pylist(), key=lambda r: r["doc_id"])
+    rows = sorted(texts.select("doc_id", "fold", *names, "text").mapInArrow(sparse, f"doc_id {kind}, fold int, {', '.join(n + ' double' for n in names)}, at array<int>, x array<float>").toArrow().to_pylist(), key=lambda r: r["doc_id"])
     x = np.zeros((len(rows), len(place) + 1), np.float32)
     for i, r in enumerate(rows):
         x[i, r["at"]] = r["x"]
     y = [np.array([np.nan if r[n] is None else r[n] for r in rows], dtype=np.float64) for n in names]
-    state = spark.sparkContext.broadcast((place, fit_chain(x.astype(np.float64), y, np.arange(len(rows)) % FOLDS)))
+    columns = [np.array([*(place[c] for c in sorted(own)), len(place)]) for own in chosen]
+    models = fit_chain(x.astype(np.float64), y, np.array([r["fold"] for r in rows], dtype=np.int64), columns)
+    state = spark.sparkContext.broadcast(({c: i for i, c in enumerate(sorted(chosen[FOLDS]))}, models))
     scored = docs.select("doc_id", "text").mapInArrow(_score(state), f"doc_id {kind}, {', '.join(f'p{k} double' for k in range(len(names)))}")
     return scored.toDF("doc_id", *[f"p_{c}" for c in categories])
 
