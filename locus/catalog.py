@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from .plans import documents, entities, reports
+from .plans import documents, entities, menus, reports
 
 QUERIES = {}
 ORACLES = {}
-for _module in (reports, entities, documents):
+for _module in (reports, entities, documents, menus):
     for _name, _plan in list(vars(_module).items()):
         if callable(_plan) and getattr(_plan, "__module__", "") == _module.__name__ and not _name.startswith("_"):
             QUERIES[_name] = _plan

@@ -15,7 +15,7 @@ def lines(text: Column, shortest: int = 3, longest: int = 160) -> Column:
 
 def line_key(line: Column, longest: int = 60) -> Column:
     """A line's key: lower case, prices away, letters and spaces kept (a-z, kana, CJK), spaces collapsed."""
-    bare = F.regexp_replace(F.lower(line), r"\$ ?\d{1,3}(\.\d\d)?|(?<![\d.])\d{1,3}\.\d\d(?![\d.])", " ")
+    bare = F.regexp_replace(F.lower(line), r"\$\s?\d{1,3}(?:\.\d{2})?|(?<![\d.])\d{1,3}\.\d{2}(?!\d)", "")
     kept = F.regexp_replace(bare, "[^a-z぀-ヿ一-鿿 ]", " ")
     return F.substring(F.trim(F.regexp_replace(kept, " +", " ")), 1, longest)
 
