@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from .plans import documents, entities, menus, reports
+from .plans import content, documents, entities, listings, menus, merging, reports, texts
 
 QUERIES = {}
-ORACLES = {}
-for _module in (reports, entities, documents, menus):
+ORACLES = {"place_dedupe": merging.PLACE_DEDUPE_SQL}
+for _module in (reports, entities, documents, menus, listings, merging, content, texts):
     for _name, _plan in list(vars(_module).items()):
         if callable(_plan) and getattr(_plan, "__module__", "") == _module.__name__ and not _name.startswith("_"):
             QUERIES[_name] = _plan

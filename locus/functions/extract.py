@@ -13,6 +13,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,12 +31,13 @@ STATES = dict(
 )
 STATES = {k.replace("_", " "): v for k, v in STATES.items()}
 SUFFIX = "Street|St|Avenue|Ave|Boulevard|Blvd|Road|Rd|Drive|Dr|Lane|Ln|Way|Court|Ct|Place|Pl|Square|Sq|Parkway|Pkwy|Highway|Hwy|Circle|Cir|Terrace|Ter|Plaza|Plz|Pike|Broadway|Alley|Row|Loop|Trail|Trl|Commons|Crossing|Walk|Expressway|Expy|Route|Rte"
-_STATE = "|".join([*sorted(STATES, key=len, reverse=True), *STATES.values()])
-ADDRESS = re.compile(
-    rf"(?<![\w$.#])(?P<street>\d{{1,6}}[A-Z]?(?:\s+(?:N|S|E|W|NE|NW|SE|SW|North|South|East|West)\.?)?(?:\s+[A-Z0-9][\w'’.-]*){{0,5}}?\s+(?:{SUFFIX})\b\.?(?:\s+(?:N|S|E|W|NE|NW|SE|SW)\b)?)"
-    rf"(?:[\s,]+(?P<unit>(?:(?:Suite|Ste|Unit|Apt|Bldg|Floor|Fl)\.?\s*[\w-]+|#\s?[\w-]+|[A-Z]-?\d{{1,4}}\b)))?"
-    rf"[\s,]+(?P<city>[A-Z][A-Za-z'’.]+(?:\s+[A-Z][A-Za-z'’.]+){{0,3}})[\s,]+(?P<state>{_STATE})\b\.?(?:[\s,]+(?P<zip>\d{{5}})(?:-\d{{4}})?)?"
-)
+#: Streets have up to so many words before their suffix, cities up to so many. Fixed values.
+STREET_WORDS, CITY_WORDS = 6, 4
+UNITS = {"suite", "ste", "unit", "apt", "bldg", "floor", "fl"}
+DIRECTIONS = set("N S E W NE NW SE SW North South East West".split())
+_SUFFIXES = set(SUFFIX.split("|"))
+_CODES = set(STATES.values())
+_WORD = re.compile(r"[^\s,]+")
 SOON = re.compile(r"\b(?:coming|opening)\s+soon\b", re.I)
 #: How far "coming soon" may stand from the address it is said of.
 SOON_CHARACTERS = 150
@@ -120,19 +122,62 @@ def structured_items(html: str) -> list[dict]:
     return out
 
 
+def _state_at(words: list[re.Match], i: int) -> tuple[str, int] | None:
+    """The code of the state that begins at word i, and the word after it."""
+    for n in range(min(3, len(words) - i), 0, -1):
+        name = " ".join(w[0] for w in words[i : i + n]).rstrip(".")
+        if name in STATES or (n == 1 and name in _CODES):
+            return STATES.get(name, name), i + n
+    return None
+
+
+def _address_at(words: list[re.Match], text: str, i: int) -> tuple[dict, int] | None:
+    """The address whose house number is word i, and the word after it.
+
+    Words are read on from the number: street words to the first suffix, a direction, a unit, then as many capitalized words of a
+    city as leave a state behind them, and a zip.
+    """
+    if not re.fullmatch(r"\d{1,6}[A-Z]?", words[i][0]) or text[words[i].start() - 1 : words[i].start()] in ("$", "#", "."):
+        return None
+    end = next((k for k in range(i + 1, min(len(words), i + STREET_WORDS + 2)) if words[k][0].rstrip(".") in _SUFFIXES and k > i + 1), None)
+    if end is None or not all(re.fullmatch(r"[A-Z0-9][\w'’.-]*", w[0]) for w in words[i + 1 : end + 1]):
+        return None
+    at = end + 1
+    if at < len(words) and words[at][0].rstrip(".") in DIRECTIONS:
+        at += 1
+    street, unit = " ".join(w[0] for w in words[i:at]), None
+    if at < len(words):
+        first = words[at][0]
+        if first.rstrip(".").lower() in UNITS and at + 1 < len(words):
+            unit, at = f"{first} {words[at + 1][0]}", at + 2
+        elif re.fullmatch(r"#[\w-]+|[A-Z]-?\d{1,4}", first):
+            unit, at = first, at + 1
+    for n in range(CITY_WORDS, 0, -1):
+        named = words[at : at + n]
+        found = _state_at(words, at + n) if len(named) == n and all(re.fullmatch(r"[A-Z][A-Za-z'’.]+", w[0]) for w in named) else None
+        if found:
+            state, after = found
+            code = re.match(r"(\d{5})(?:-\d{4})?\b", words[after][0]) if after < len(words) else None
+            after += bool(code)
+            stop = words[after - 1].end() if not code else words[after - 1].start() + code.end()
+            return {"street": f"{street} {unit}" if unit else street, "city": " ".join(w[0] for w in named), "state": state, "zip": code and code[1], "at": (words[i].start(), stop), "soon": False}, after
+    return None
+
+
+def location_key(a: dict) -> str:
+    """House number with the zip, or the city: letters and digits only."""
+    return re.sub(r"\W", "", f"{a['street'].split()[0]}{a['zip'] or a['city']}").lower()
+
+
 def addresses(text: str) -> list[dict]:
     """US addresses in running text, each once, with `soon` where "coming soon" stands nearest to it (the one after, on ties)."""
-    found, seen = [], set()
-    for m in ADDRESS.finditer(text):
-        state = STATES.get(m["state"], m["state"])
-        street = re.sub(r"\s+", " ", m["street"])
-        unit = m["unit"] and re.sub(r"\s+", " ", m["unit"])
-        city = re.sub(r"\s+", " ", m["city"])
-        key = re.sub(r"\W", "", f"{street.split()[0]}{m['zip'] or city}").lower()
-        if key in seen:
-            continue
-        seen.add(key)
-        found.append({"street": f"{street} {unit}" if unit else street, "city": city, "state": state, "zip": m["zip"], "at": m.span(), "soon": False})
+    words, found, i = list(_WORD.finditer(text)), {}, 0
+    while i < len(words):
+        read = _address_at(words, text, i)
+        if read:
+            found.setdefault(location_key(read[0]), read[0])
+        i = read[1] if read else i + 1
+    found = list(found.values())
     for s in SOON.finditer(text):
         gaps = []
         for i, a in enumerate(found):
@@ -169,10 +214,8 @@ def map_pins(html: str) -> list[tuple[float, float]]:
 def locations(html: str) -> list[dict]:
     """Structured addresses first, then those of the text; a single map pin goes with a single address, as a fallback."""
     out = structured_addresses(html)
-    known = {re.sub(r"\W", "", f"{a['street'].split()[0]}{a['zip'] or a['city']}").lower() for a in out if a["street"]}
-    for a in addresses(visible_text(html)):
-        if re.sub(r"\W", "", f"{a['street'].split()[0]}{a['zip'] or a['city']}").lower() not in known:
-            out.append(a)
+    known = {location_key(a) for a in out if a["street"]}
+    out += [a for a in addresses(visible_text(html)) if location_key(a) not in known]
     pins = map_pins(html)
     if len(out) == 1 and len(pins) == 1 and out[0].get("lat") is None:
         out[0]["pin"] = pins[0]
@@ -220,24 +263,44 @@ def sitemap_urls(xml: Column, most: int = 5000) -> Column:
     return F.slice(F.array_distinct(F.regexp_extract_all(xml, F.lit(r"<loc>\s*([^<\s]+)\s*</loc>"), F.lit(1))), 1, most)
 
 
-def has_code(html: Column, code: Column) -> Column:
-    """The code stands in the page's text or in a meta tag."""
-    return F.contains(F.regexp_replace(html, "(?is)<(script|style)\\b.*?</\\1>", " "), code)
+def has_code(html: str, code: str, name: str) -> bool:
+    """The code stands in the page's visible text, or is the content of the meta tag of this name."""
+    page = read_page(html)
+    return page.meta.get(name.lower(), "").strip().lower() == code or code in " ".join(page.text).lower()
 
 
-def closed_for_good(text: Column, window: int = 120, most: int = 6000) -> Column:
-    """A text says that the place has closed permanently, with no word of "temporary" near."""
-    t = F.lower(F.substring(text, 1, most))
-    said = r"(permanently closed|closed permanently|closed for good|closed our doors|have closed|has closed|last day of (service|business))"
-    return t.rlike(said) & ~t.rlike(rf"(temporar|re-?open|remodel)[\s\S]{{0,{window}}}{said}|{said}[\s\S]{{0,{window}}}(temporar|re-?open|remodel)")
+# What says that a place has closed for good, what says that it has not, and what a page without its owner says.
+CLOSED = ["permanently closed", "closed permanently", "closed for good", "(?:have|has) (?:now |officially |permanently )?closed (?:our|its) doors", "closing (?:our|its) doors (?:for good|permanently)", "we(?:'ve| have) (?:officially )?closed\\b(?! on)(?! for (?:the|a|today|tonight|lunch|dinner|holiday|vacation|private|renovation))"]
+TEMPORARY = ["temporar", "reopen", "re-open", "renovat", "vacation", "holiday", "for the day", "tonight", "today"]
+PARKED = ["domain (?:is |may be )?for sale", "buy this domain", "this domain (?:name )?(?:is|may be) for sale", "parked (?:free|domain|by)", "domain (?:has )?expired", "this domain has expired", "renew (?:this|your) domain", "account (?:has been )?suspended", "website (?:has been )?suspended", "hugedomains", "dan\\.com", "sedo(?:parking)?\\b", "afternic"]
+#: Characters of visible text that are read for each, and around a notice. Fixed values.
+CLOSED_TEXT, PARKED_TEXT, AROUND = 6000, 4000, 120
+_CLOSED, _TEMPORARY, _PARKED = (re.compile("|".join(x), re.I) for x in (CLOSED, TEMPORARY, PARKED))
 
 
-def parked(text: Column, most: int = 4000) -> Column:
-    return F.lower(F.substring(text, 1, most)).rlike(r"domain (is|may be) for sale|buy this domain|account (has been )?suspended|parked (free|domain)|default web page|under construction")
+def closed_for_good(visible: str) -> bool:
+    """The visible text has a notice of closing for good with no word of a temporary one around it."""
+    text = visible[:CLOSED_TEXT]
+    return any(not _TEMPORARY.search(text[max(0, m.start() - AROUND) : m.end() + AROUND]) for m in _CLOSED.finditer(text))
+
+
+def parked(visible: str) -> bool:
+    return bool(_PARKED.search(visible[:PARKED_TEXT]))
+
+
+def _notices(html: pd.Series) -> pd.DataFrame:
+    texts = [" ".join(read_page(h or "").text) for h in html]
+    return pd.DataFrame({"closed": [closed_for_good(t) for t in texts], "parked": [parked(t) for t in texts], "length": [len(t) for t in texts]})
+
+
+def notices(html: Column) -> Column:
+    """struct(closed, parked, length) of a page's visible text."""
+    return F.pandas_udf(_notices, "struct<closed: boolean, parked: boolean, length: int>")(html)
 
 
 def update_lines(html: str, whole_page: bool = False, most: int = 8, heading: str = "updates") -> list[tuple[str, str]]:
-    """Lines "Special: ...", "Closed: ...", "Hours: ...", "Note: ..." below a heading, until the first other line; or anywhere."""
+    """Lines "Special: ...", "Closed: ...", "Hours: ...", "Note: ..." of the 14 lines below a heading, up to the first other line after
+    one of them; or anywhere on the page."""
     page = read_page(html)
     lines = page.text
     if not whole_page:
@@ -247,10 +310,10 @@ def update_lines(html: str, whole_page: bool = False, most: int = 8, heading: st
         lines = lines[at + 1 : at + 15]
     out = []
     for line in lines:
-        m = re.match(r"(special|closed|hours|note)\s*:\s*(.+)", line, re.I)
+        m = re.match(r"(special|closed|hours|note)\s*[:\-–]\s*(.+)", line, re.I)
         if m:
             out.append((m[1].lower(), m[2]))
-        elif not whole_page:
+        elif out and not whole_page:
             break
     return out[:most]
 
@@ -284,3 +347,60 @@ def closed_range(text: str, base: dt.date) -> tuple[dt.date, dt.date] | None:
     if first is None or last is None:
         return None
     return first, (last.replace(year=last.year + 1) if last < first else last)
+
+
+def update_rows(pages: DataFrame, key: str, html: str, heading: str) -> DataFrame:
+    """(key, pos, kind, text) of every page's update lines: a narrow map over pages."""
+    kind = pages.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(k, i, what, limited(text)) for k, h in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for i, (what, text) in enumerate(update_lines(h or "", heading=heading))]
+            columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], batch.schema.field(0).type), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string())], names=[key, "pos", "kind", "text"])
+
+    return pages.select(key, html).mapInArrow(run, f"`{key}` {kind}, pos int, kind string, text string")
+
+
+def _ranges(base: dt.date):
+    def run(texts: pd.Series) -> pd.DataFrame:
+        found = [closed_range(t, base) if t else None for t in texts]
+        return pd.DataFrame({"first": [f[0] if f else None for f in found], "last": [f[1] if f else None for f in found]})
+
+    return run
+
+
+def closed_range_column(text: Column, base: dt.date) -> Column:
+    """struct(first, last) of the days that a text names, near `base`."""
+    return F.pandas_udf(_ranges(base), "struct<first: date, last: date>")(text)
+
+
+def _titles(html: pd.Series) -> pd.Series:
+    return html.map(lambda h: page_title(h or ""))
+
+
+def title_column(html: Column) -> Column:
+    return F.pandas_udf(_titles, "string")(html)
+
+
+def domain_status(reached: Column, host: Column, final: Column, dish_host: Column, length: Column, parked_page: Column, dish: Column, other: Column, locations: Column, located: Column) -> Column:
+    """What a newly seen domain turned out to be; locations and located are how many addresses it has and how many are on the map."""
+    none = locations == 0
+    return (
+        F.when(~reached, "unreachable")
+        .when((final != "") & ~final.endswith(host) & ~dish_host, "elsewhere")
+        .when((length < 200) & none, "empty")
+        .when(parked_page & none, "parked")
+        .when(~dish, "not ramen")
+        .when(other & none, "not a restaurant")
+        .when(located == 0, "no US address")
+        .otherwise("ok")
+    )
+
+
+def store_slugs(url: Column, base: str, state: Column) -> Column:
+    """struct(city, slug) of a store page below a chain's directory ("base/state/city/number-street"); null for other pages."""
+    depth = len([x for x in base.split("//", 1)[-1].split("/")[1:] if x])
+    parts = F.filter(F.split(F.coalesce(F.try_parse_url(url, F.lit("PATH")), F.lit("")), "/"), lambda x: x != "")
+    at = lambda i: F.get(parts, F.lit(depth + i))
+    return F.when((F.size(parts) == depth + 3) & (at(0) == state) & at(2).rlike(r"^\d+[a-z]?-"), F.struct(at(1).alias("city"), at(2).alias("slug")))

@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .extract import structured_items
+
 Week = list[list[tuple[int, int]]]
 DAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
 DAY = r"mon(?:days?)?|tue(?:s(?:days?)?)?|wed(?:nesdays?)?|thu(?:r(?:s(?:days?)?)?)?|fri(?:days?)?|sat(?:urdays?)?|sun(?:days?)?|mo|tu|we|th|fr|sa|su"
@@ -114,40 +116,26 @@ def from_schema(entries: list[str]) -> Week | None:
     return merged(week)
 
 
-def _walk(node):
-    if isinstance(node, dict):
-        yield node
-        node = list(node.values())
-    if isinstance(node, list):
-        for x in node:
-            yield from _walk(x)
-
-
 def from_jsonld(html: str) -> Week | None:
-    for block in re.findall(r"<script[^>]*ld\+json[^>]*>(.*?)</script>", html, re.I | re.S):
-        try:
-            data = json.loads(unescape(block) if "&quot;" in block else block)
-        except ValueError:
-            continue
-        for node in _walk(data):
-            spec, text = node.get("openingHoursSpecification"), node.get("openingHours")
-            week: Week | None = None
-            if spec:
-                week = [[] for _ in DAYS]
-                for row in spec if isinstance(spec, list) else [spec]:
-                    if not isinstance(row, dict) or row.get("validFrom") or row.get("validThrough"):
-                        continue
-                    days = row.get("dayOfWeek") or []
-                    s = span(str(row.get("opens", "")), str(row.get("closes", "")), full_day=True)
-                    for day in days if isinstance(days, list) else [days]:
-                        name = str(day).rsplit("/", 1)[-1].lower()
-                        if s and name in DAYS:
-                            week[DAYS.index(name)].append(s)
-                week = merged(week)
-            elif text:
-                week = from_schema(text if isinstance(text, list) else [text])
-            if valid(week):
-                return week
+    for node in structured_items(unescape(html) if "&quot;" in html else html):
+        spec, text = node.get("openingHoursSpecification"), node.get("openingHours")
+        week: Week | None = None
+        if spec:
+            week = [[] for _ in DAYS]
+            for row in spec if isinstance(spec, list) else [spec]:
+                if not isinstance(row, dict) or row.get("validFrom") or row.get("validThrough"):
+                    continue
+                days = row.get("dayOfWeek") or []
+                s = span(str(row.get("opens", "")), str(row.get("closes", "")), full_day=True)
+                for day in days if isinstance(days, list) else [days]:
+                    name = str(day).rsplit("/", 1)[-1].lower()
+                    if s and name in DAYS:
+                        week[DAYS.index(name)].append(s)
+            week = merged(week)
+        elif text:
+            week = from_schema(text if isinstance(text, list) else [text])
+        if valid(week):
+            return week
     return None
 
 
@@ -166,8 +154,8 @@ def from_schedule(html: str) -> Week | None:
         except ValueError:
             continue
         week: Week = [[] for _ in DAYS]
-        for row in rows:
-            for part in row.get("intervals") or []:
+        for row in (r for r in rows if isinstance(r, dict)):
+            for part in (p for p in row.get("intervals") or [] if isinstance(p, dict)):
                 s = span(str(part.get("startTime", ""))[:5], str(part.get("endTime", ""))[:5], full_day=True)
                 for day in row.get("days") or []:
                     if s and day in DAYS:
@@ -189,6 +177,8 @@ def from_text(text: str) -> Week | None:
         kind = m.lastgroup
         if kind == "stop":
             break
+        if kind == "day" and m[0].islower() and len(m[0]) == 2:
+            continue  # "we" is no Wednesday in running text
         if kind == "word":
             strangers += m[0].lower() not in NEUTRAL
             continue
@@ -211,7 +201,24 @@ def from_text(text: str) -> Week | None:
             tokens.append(("days", list(range(7))))
         else:
             tokens.append(("closed", None))
-    return _assemble(tokens)
+    return _assemble(_closed_last(tokens))
+
+
+def _closed_last(tokens: list[tuple[str, object]]) -> list[tuple[str, object]]:
+    """"... 9pm, closed Sunday and Monday": where the days after a "closed" have no times of their own, it is said after them."""
+    out, i = [], 0
+    while i < len(tokens):
+        after = i + 1
+        while after < len(tokens) and tokens[after][0] == "days":
+            after += 1
+        said_before = tokens[i][0] == "closed" and out and out[-1][0] == "time" and after > i + 1
+        if said_before and (after == len(tokens) or tokens[after][0] != "time"):
+            out += [*tokens[i + 1 : after], tokens[i]]
+            i = after
+        else:
+            out.append(tokens[i])
+            i += 1
+    return out
 
 
 def _assemble(tokens: list[tuple[str, object]]) -> Week | None:
@@ -245,7 +252,7 @@ def _assemble(tokens: list[tuple[str, object]]) -> Week | None:
     for days, times in pairs:
         named.update(days)
         if None in times:
-            if len(times) > 1:
+            if any(t is not None for t in times):
                 return None
             shut.update(days)
             continue
@@ -317,3 +324,18 @@ def week_column(html: Column) -> Column:
     """struct(week, how): the week as array of days of (open, close) arrays, and the strategy that found it."""
     r = F.pandas_udf(_weeks, "struct<week: string, how: string>")(html)
     return F.struct(F.from_json(r["week"], "array<array<array<int>>>").alias("week"), r["how"].alias("how"))
+
+
+def owner_hours(text: str | None) -> Week | None:
+    """An owner's posted hours, where they read cleanly."""
+    week = from_text(f"Hours: {text}") if text else None
+    return week if valid(week) else None
+
+
+def _said(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if (w := owner_hours(t)) is None else said(w))
+
+
+def owner_hours_column(text: Column) -> Column:
+    """The week of an owner's posted hours as text; null where they do not read cleanly."""
+    return F.pandas_udf(_said, "string")(text)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,8 +44,11 @@ def nick_key(name: Column) -> Column:
 
 
 def all_words(hay: Column, query: str) -> Column:
-    """Every word of the query occurs in the text."""
-    return F.forall(F.array(*[F.lit(w) for w in query.lower().split()]), lambda w: F.contains(F.lower(hay), w))
+    """Every word of the query occurs in the text (both lower-cased; fold accents before, if they are to be ignored)."""
+    out = F.lit(True)
+    for word in query.lower().split():
+        out = out & F.contains(F.lower(hay), F.lit(word))
+    return out
 
 
 def joined_address(*parts: Column) -> Column:
@@ -55,3 +61,88 @@ def split_address(address: Column) -> dict[str, Column]:
     parts = F.split(address, ", *")
     state = F.regexp_extract(F.element_at(parts, -1), r"^([A-Z]{2})\b", 1)
     return {"street": F.element_at(parts, 1), "city": F.try_element_at(parts, F.lit(-2)), "state": F.nullif(state, F.lit("")), "house": F.nullif(F.regexp_extract(address, r"^(\d+)\b", 1), F.lit(""))}
+
+
+def folded(text: Column) -> Column:
+    """Lower case without accents (NFKD, combining marks away): an Arrow function, since no expression decomposes characters."""
+    def fold(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t.lower()) if not unicodedata.combining(c)))
+
+    return F.pandas_udf(fold, "string")(text)
+
+
+def plain_slug(text: Column, default: str = "city") -> Column:
+    """A slug without accents; `default` where nothing is left."""
+    bare = F.regexp_replace(F.regexp_replace(folded(text), "[^a-z0-9]+", "-"), "^-+|-+$", "")
+    return F.when(bare == "", default).otherwise(bare)
+
+
+def name_key(name: Column, filler: list[str]) -> Column:
+    """Letters and digits of a name without accents and filler words."""
+    bare = F.regexp_replace(folded(F.coalesce(name, F.lit(""))), r"\b(?:" + "|".join(filler) + r")\b", " ")
+    return F.regexp_replace(bare, "[^a-z0-9]+", "")
+
+
+def clock_label(minute: Column) -> Column:
+    """"noon", "midnight", "9 am", "9:30 pm" of minutes, which may pass midnight."""
+    m = minute % 1440
+    hour = (F.floor(m / 60) + 11) % 12 + 1
+    text = F.concat(hour.cast("string"), F.when(m % 60 > 0, F.concat(F.lit(":"), F.lpad((m % 60).cast("string"), 2, "0"))).otherwise(F.lit("")), F.when(m < 720, " am").otherwise(F.lit(" pm")))
+    return F.when(m == 0, "midnight").when(m == 720, "noon").otherwise(text)
+
+
+def cut_at_word(text: Column, most: int = 60) -> Column:
+    """A text of at most `most` characters, cut at the last space inside."""
+    short = F.substring(text, 1, most)
+    cut = F.regexp_extract(short, r"^(.*)\s\S*$", 1)
+    return F.when(F.length(text) <= most, text).when(cut != "", cut).otherwise(short)
+
+
+def blocked_nick(key: Column, listed: list[str]) -> Column:
+    """A nickname's key contains a listed word, itself squeezed the same way."""
+    return F.exists(F.array(*[F.lit(w) for w in listed]), lambda w: F.contains(key, F.regexp_replace(w, r"(.)\1+", "$1")))
+
+
+# Words of a street that tell nothing apart.
+STREET_FILLER = "st street rd road ave avenue blvd dr drive ln lane way ct pl pkwy parkway hwy highway n s e w north south east west ne nw se sw ste suite unit us the and at of".split()
+
+
+def address_parts(address: Column) -> dict[str, Column]:
+    """Street, city, state and house number of "street, city, ST [zip]"; all but the house number null where there is no state.
+
+    States may be codes or names. Where a suite stands in the city's place the part before it is the city. Words of a city all in
+    one case are capitalized, but for codes of up to three capitals."""
+    from .extract import STATES
+
+    parts = F.filter(F.transform(F.split(address, ","), lambda x: F.trim(x)), lambda x: x != "")
+    last = F.trim(F.regexp_replace(F.try_element_at(parts, F.lit(-1)), r"\s*\d{5}(?:-\d{4})?$", ""))
+    codes = F.create_map(*[F.lit(x) for name, code in STATES.items() for x in (name.lower(), code)])
+    state = F.when(F.length(last) == 2, F.upper(last)).otherwise(F.try_element_at(codes, F.lower(last)))
+    second, third = F.try_element_at(parts, F.lit(-2)), F.try_element_at(parts, F.lit(-3))
+    raw = F.when(~second.rlike(r"\d"), second).when((F.size(parts) >= 4) & ~third.rlike(r"\d"), third)
+    ok = (F.size(parts) >= 3) & state.isin(*STATES.values()) & raw.isNotNull()
+    one_case = lambda w: (w == F.lower(w)) | (w == F.upper(w))
+    cased = F.transform(F.split(raw, r"\s+"), lambda w: F.when(w.rlike("^[A-Z]{1,3}$"), w).when(one_case(w) & w.rlike("(?i)[a-z]"), F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 100)))).otherwise(w))
+    city = F.array_join(cased, " ")
+    street = F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))), ", ")
+    return {"street": F.when(ok, street), "city": F.when(ok, city), "state": F.when(ok, state), "house": F.nullif(F.regexp_extract(address, r"^(\d+)\b", 1), F.lit(""))}
+
+
+def street_words(address: Column) -> Column:
+    """Distinct words of an address's street that tell it apart: no numbers, no filler."""
+    parts = F.split(F.lower(F.coalesce(F.split(address, ",")[0], F.lit(""))), "[^a-z0-9]+")
+    return F.array_distinct(F.filter(parts, lambda w: (w != "") & ~w.rlike(r"^\d+$") & ~w.isin(*STREET_FILLER)))
+
+
+def is_shop_key(key: Column) -> Column:
+    return key.rlike(r"^[a-z0-9.\-]{1,80}@-?\d{1,3}\.\d{2},-?\d{1,3}\.\d{2}$")
+
+
+def clean_tag(tag: Column) -> Column:
+    return F.substring(F.regexp_replace(F.lower(F.coalesce(tag, F.lit(""))), r"[^a-z0-9_.\-]", ""), 1, 32)
+
+
+def clean_signature(signature: Column) -> Column:
+    """Hexadecimal digits of a signature, 16 to 64 of them; null below."""
+    digits = F.substring(F.regexp_replace(F.lower(signature), "[^0-9a-f]", ""), 1, 64)
+    return F.when(F.length(digits) >= 16, digits)

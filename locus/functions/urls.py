@@ -70,3 +70,37 @@ def address_variants(url: Column) -> Column:
 def under(host: Column, domain: Column) -> Column:
     """The host is the domain or a subdomain of it."""
     return (host == domain) | host.endswith(F.concat(F.lit("."), domain))
+
+
+def names_dish(domain: Column, dish: str, look_alikes: tuple[str, ...], followers: tuple[str, ...], endings: tuple[str, ...]) -> Column:
+    """A domain under an accepted ending whose label has the dish at its start or end, after a digit or hyphen, or before a plain word;
+    look-alikes are taken out first."""
+    label = F.substring_index(F.lower(domain), ".", 1)
+    for x in look_alikes:
+        label = F.regexp_replace(label, x, "")
+    after = "|".join(followers)
+    return F.substring_index(domain, ".", -1).isin(*endings) & label.rlike(f"^{dish}|[-0-9]{dish}|{dish}$|{dish}(?=[-0-9]|{after})")
+
+
+def _given(url: Column, key: str) -> Column:
+    return F.trim(F.try_url_decode(F.coalesce(F.try_parse_url(url, F.lit("QUERY"), F.lit(key)), F.lit(""))))
+
+
+def shared_place(url: Column) -> Column:
+    """struct(name, lat, lon, address, site) of a shared link; null without a name or a spot on earth. Sites that are no host are
+    empty."""
+    name, lat, lon = F.substring(_given(url, "n"), 1, 80), _given(url, "la").try_cast("double"), _given(url, "lo").try_cast("double")
+    site = _given(url, "w")
+    site = F.when(site.rlike(r"^[a-z0-9.-]+\.[a-z]{2,}$"), site).otherwise(F.lit(""))
+    ok = (name != "") & lat.between(-90, 90) & lon.between(-180, 180)
+    return F.when(ok, F.struct(name.alias("name"), lat.alias("lat"), lon.alias("lon"), F.substring(_given(url, "a"), 1, 120).alias("address"), site.alias("site")))
+
+
+def encoded(text: Column) -> Column:
+    """Percent-encoding with %20 for spaces."""
+    return F.regexp_replace(F.url_encode(text), r"\+", "%20")
+
+
+def store_link(link: Column, medium: Column) -> Column:
+    """A store's link with the source in its referrer."""
+    return F.concat(link, F.lit("&referrer="), encoded(F.concat(F.lit("utm_source=web&utm_medium="), F.substring(medium, 1, 32))))

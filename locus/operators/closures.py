@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import haversine
+from ..functions.geo import grid_join
 from ..functions.text import slug
 from ..functions.urls import host_of
 
@@ -34,8 +34,10 @@ def matches(entries: DataFrame, listed: DataFrame, within_m: float = 150) -> Dat
     e = entries.select("eid", "k", "h", F.lower(F.trim("n")).alias("n"), "la", "lo")
     by_k = e.where("k is not null").join(listed.select("id", "k"), "k").select("eid", "id", F.lit(0).alias("r"))
     by_h = e.where("h is not null").join(listed.select("id", "h"), "h").select("eid", "id", F.lit(1).alias("r"))
-    spots = listed.select("id", F.lower(F.trim("name")).alias("n"), "lat", "lon")
-    by_n = e.where("n is not null").join(spots, "n").where(haversine(F.col("lat"), F.col("lon"), F.col("la"), F.col("lo")) <= within_m).select("eid", "id", F.lit(2).alias("r"))
+    # By name and grid cell: a name that many places share is no hot key.
+    spots = listed.select("id", F.lower(F.trim("name")).alias("n"), F.col("lat").alias("blat"), F.col("lon").alias("blon"))
+    named = e.where("n is not null").select("eid", F.col("n").alias("en"), F.col("la").alias("lat"), F.col("lo").alias("lon"))
+    by_n = grid_join(named, spots, within_m, F.col("en") == F.col("n")).select("eid", "id", F.lit(2).alias("r"))
     found = by_k.union(by_h).union(by_n)
     return found.join(found.groupBy("eid").agg(F.min("r").alias("r")), ["eid", "r"]).select("eid", "id")
 
@@ -109,3 +111,11 @@ def labels(entries: DataFrame, listed: DataFrame) -> DataFrame:
     per = matches(entries, listed).join(listed.select("id", "name", F.trim(city).alias("city")), "id").groupBy("eid").agg(F.array_sort(F.collect_set("name")).alias("names"), F.collect_set(F.nullif("city", F.lit(""))).alias("cities"))
     where = F.when(F.size("cities") == 1, F.concat(F.lit(", "), F.get("cities", F.lit(0)))).otherwise(F.lit(""))
     return per.select("eid", F.substring(F.concat(F.array_join(F.slice("names", 1, 3), " / "), where), 1, 100).alias("label"))
+
+
+def with_pulled(hides: DataFrame, pulled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The hides (k, why) with all "dev" ones replaced by the pulled (k), and a single row (changed)."""
+    out = hides.where("why <> 'dev'").unionByName(pulled.select("k", F.lit("dev").alias("why")))
+    old, new = hides.where("why = 'dev'").select("k", F.lit(1).alias("was")), pulled.select("k", F.lit(1).alias("now"))
+    diff = old.join(new, "k", "full").agg(F.coalesce(F.bool_or(F.col("was").isNull() | F.col("now").isNull()), F.lit(False)).alias("changed"))
+    return out, diff

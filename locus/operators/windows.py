@@ -51,3 +51,24 @@ def keep_last_good(new: DataFrame, old: DataFrame, key: str, value: str, age: st
     both = new.select(key, value).join(o, F.col(key) == F.col("old_key"), "full")
     kept = F.coalesce(F.col(value), F.when(F.col("old_age") <= most_age, F.col("old_value")))
     return both.select(F.coalesce(key, "old_key").alias(key), kept.alias(value), F.when(F.col(value).isNotNull(), "new").when(kept.isNotNull(), "kept").otherwise("gone").alias("origin"))
+
+
+def first_filled(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
+    """A key's first row, each null filled from its first later row that has a value: one aggregation."""
+    return df.groupBy(key).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
+
+
+def miss_runs(df: DataFrame, key: str, order: str, found: str, most: int) -> DataFrame:
+    """(key, misses, claimed): misses since the last row that was found; null rows count as not looked. `most` misses in a row end
+    a claim, which begins with the first row found."""
+    last = df.groupBy(key).agg(F.max(F.when(F.col(found), F.col(order))).alias("last"))
+    seen = df.where(F.col(found).isNotNull()).join(last, key)
+    misses = seen.groupBy(key).agg(F.count_if(~F.col(found) & (F.col("last").isNull() | (F.col(order) > F.col("last")))).cast("int").alias("misses"), F.max("last").alias("last"))
+    return misses.select(key, "misses", ((F.col("misses") < most) & F.col("last").isNotNull()).alias("claimed"))
+
+
+def sessions(df: DataFrame, key: str, order: list[str], position: str, gap: float) -> DataFrame:
+    """Adds cluster: a key's rows in order, a new cluster after each gap in `position` of more than `gap`."""
+    by = Window.partitionBy(key).orderBy(*order)
+    new = F.when(F.col(position) - F.lag(position).over(by) <= gap, 0).otherwise(1)
+    return df.withColumn("new", new).withColumn("cluster", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("new")

@@ -133,3 +133,9 @@ def suppressed(spark, d):
     from ..streaming.counters import suppress_repeats
 
     return suppress_repeats(activity(spark, d).select("device", "event_type", "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("us")), ["device", "event_type"], "us", "seq", 30 * 60 * 1_000_000)
+
+
+#: From each key's first row on, the first row that is late enough after the last kept one.
+SUPPRESSED = f"""WITH RECURSIVE {ACTIVITY}, e AS (SELECT device, event_type, seq, epoch_us(ts) AS us FROM activity),
+k AS (SELECT device, event_type, min((us, seq)) AS p FROM e GROUP BY ALL UNION ALL SELECT e.device, e.event_type, min((e.us, e.seq)) AS p FROM k JOIN e ON e.device = k.device AND e.event_type = k.event_type AND e.us - k.p[1] > 1800000000 GROUP BY ALL)
+SELECT device, event_type, p[2] AS seq, p[1] AS us FROM k"""

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls as U
 from ..functions.geo import cell, grid_join, haversine, nearest, planar
+from ..operators.listings import near_spot, spot_cells
 from ..operators.match import by_keys, greedy_dedupe, same_place
 from ..operators.windows import keep_last_good
-from ..sources.adapters import HOST, METRES, PLACES, others, places, table
+from ..sources.adapters import HOST, METRES, PLACES, others, places, table, written
 
 FILLER = ("the", "and", "restaurant", "house")
 
@@ -54,27 +55,12 @@ def place_anti(spark, d):
 PLACE_ANTI = f"WITH {PLACES} SELECT bid AS id, bname AS name FROM others WHERE NOT EXISTS (SELECT 1 FROM places WHERE blat BETWEEN lat - 0.01 AND lat + 0.01 AND {SAME})"
 
 
-def _shared_write(spark):
-    """A table in the shared folder cuts lineage between rounds."""
-    import tempfile
-    import uuid
-
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-
-    def write(df):
-        path = f"{base.rstrip('/')}/rounds/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return write
-
-
 def place_dedupe(spark, d):
     """Greedy admission in id order: a place stays unless it is the same as one that stayed before."""
     p = places(spark, d)
     b = p.select(F.col("id").alias("bid"), F.col("name").alias("bname"), F.col("lat").alias("blat"), F.col("lon").alias("blon"), F.col("host").alias("bhost"))
     links = grid_join(p, b, 150, (F.col("id") < F.col("bid")) & _same()).select(F.col("id").alias("a"), F.col("bid").alias("b"))
-    return greedy_dedupe(p.select("id", F.col("id").alias("seq")), links, _shared_write(spark))
+    return greedy_dedupe(p.select("id", F.col("id").alias("seq")), links, written)
 
 
 def nearest_k(spark, d):
@@ -104,15 +90,15 @@ METRO_MEMBERS = f"WITH {PLACES}, points(metro, mlat, mlon) AS (VALUES ('south',
 
 
 def multi_key_match(spark, d):
-    """Second-source places looked up by exact spot, else by host, else by name."""
+    """Second-source places looked up by exact spot, else by host, else by name in one area."""
     spot = lambda la, lo: F.concat_ws(",", F.round(la * 1000).cast("bigint").cast("string"), F.round(lo * 1000).cast("bigint").cast("string"))
-    e = others(spark, d).select("bid", spot(F.col("blat"), F.col("blon")).alias("spot"), F.nullif(F.col("bhost"), F.lit("")).alias("host"), F.col("bname").alias("name"))
-    items = places(spark, d).select("id", spot(F.col("lat"), F.col("lon")).alias("spot"), F.nullif(F.col("host"), F.lit("")).alias("host"), "name")
+    e = others(spark, d).select("bid", spot(F.col("blat"), F.col("blon")).alias("spot"), F.nullif(F.col("bhost"), F.lit("")).alias("host"), F.concat_ws("@", "bname", cell(F.col("blat"), 10), cell(F.col("blon"), 10)).alias("name"))
+    items = places(spark, d).select("id", spot(F.col("lat"), F.col("lon")).alias("spot"), F.nullif(F.col("host"), F.lit("")).alias("host"), F.concat_ws("@", "name", cell(F.col("lat"), 10), cell(F.col("lon"), 10)).alias("name"))
     return by_keys(e, items, ["spot", "host", "name"], "bid", "id").groupBy("bid", "way").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
 
 
 _SPOT = "CAST(CAST(round({0}lat * 1000) AS BIGINT) AS VARCHAR) || ',' || CAST(CAST(round({0}lon * 1000) AS BIGINT) AS VARCHAR)"
-MULTI_KEY_MATCH = f"""WITH {PLACES}, f AS (SELECT bid, id, 0 AS r, 'spot' AS way FROM others JOIN places ON {_SPOT.format('b')} = {_SPOT.format('')} UNION ALL SELECT bid, id, 1, 'host' FROM others JOIN places ON bhost = host AND host <> '' UNION ALL SELECT bid, id, 2, 'name' FROM others JOIN places ON bname = name)
+MULTI_KEY_MATCH = f"""WITH {PLACES}, f AS (SELECT bid, id, 0 AS r, 'spot' AS way FROM others JOIN places ON {_SPOT.format('b')} = {_SPOT.format('')} UNION ALL SELECT bid, id, 1, 'host' FROM others JOIN places ON bhost = host AND host <> '' UNION ALL SELECT bid, id, 2, 'name' FROM others JOIN places ON bname = name AND trunc(blat * 10) = trunc(lat * 10) AND trunc(blon * 10) = trunc(lon * 10))
 SELECT bid, way, count(*) AS n, min(id) AS least FROM f WHERE r = (SELECT min(r) FROM f g WHERE g.bid = f.bid) GROUP BY bid, way"""
 
 
@@ -120,7 +106,9 @@ def hand_fix(spark, d):
     """A fix table (every 50th place moved and renamed) joined by name and spot; applied fixes do not apply again."""
     p = places(spark, d)
     fixes = p.where("id % 50 = 0").select(F.col("name").alias("fname"), F.col("lat").alias("flat"), F.col("lon").alias("flon"), F.concat(F.lit("New "), "name").alias("new_name"))
-    at = (F.lower(F.trim("name")) == F.lower(F.trim("fname"))) & (F.abs(F.col("lat") - F.col("flat")) < 2e-4) & (F.abs(F.col("lon") - F.col("flon")) < 2e-4)
+    # By name and grid cell: a name that many places share is no hot key.
+    fixes, p = spot_cells(fixes, "flat", "flon", ("fi", "fj"), True), spot_cells(p, "lat", "lon", ("ci", "cj"), False)
+    at = (F.lower(F.trim("name")) == F.lower(F.trim("fname"))) & (F.col("ci") == F.col("fi")) & (F.col("cj") == F.col("fj")) & near_spot(F.col("lat"), F.col("lon"), F.col("flat"), F.col("flon"))
     return p.join(fixes, at, "left").select("id", F.coalesce("new_name", "name").alias("name"), F.col("new_name").isNotNull().alias("fixed"))
 
 
@@ -320,35 +308,3 @@ def sitemap(spark, d):
 
 
 SITEMAP = f"WITH p AS (SELECT DISTINCT {HOST} AS host, {HOST} || {_PX} || CASE WHEN contains(url, '?') THEN '?' || regexp_extract(url, '\\?([^#]*)', 1) ELSE '' END AS loc FROM pages) SELECT host, string_agg('<loc>' || loc || '</loc>', '' ORDER BY loc) AS map FROM p GROUP BY host"
-
-
-def page_hours(spark, d):
-    """The week of hours that a page states, and where it was found."""
-    from ..functions.hours import week_column
-
-    found = table(spark, d, "pages").select("page_id", week_column(F.col("html")).alias("found"))
-    return found.select("page_id", F.to_json("found.week").alias("week"), F.coalesce("found.how", F.lit("none")).alias("how"))
-
-
-def page_locations(spark, d):
-    """US addresses stated on pages, structured ones first."""
-    from ..functions.extract import location_rows
-
-    return location_rows(table(spark, d, "pages"), "page_id", "html")
-
-
-def page_links(spark, d):
-    """All links of pages, resolved, with their labels."""
-    from ..functions.extract import link_rows
-
-    return link_rows(table(spark, d, "pages"), "page_id", "url", "html")
-
-
-def page_state(spark, d):
-    """Pages that say a place has closed for good, or that are parked."""
-    from ..functions.extract import closed_for_good, parked
-
-    return table(spark, d, "pages").select("page_id", closed_for_good(F.col("html")).alias("closed"), parked(F.col("html")).alias("parked"))
-
-
-PAGE_STATE = r"SELECT page_id, regexp_matches(lower(substr(html, 1, 6000)), '(permanently closed|closed permanently|closed for good|closed our doors|have closed|has closed|last day of (service|business))') AS closed, regexp_matches(lower(substr(html, 1, 4000)), 'domain (is|may be) for sale|buy this domain|account (has been )?suspended|parked (free|domain)|default web page|under construction') AS parked FROM pages"

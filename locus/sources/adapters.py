@@ -85,3 +85,39 @@ def week(spark: SparkSession, sf_dir: str) -> DataFrame:
 def subs(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.when(F.col("o_orderstatus") == "F", "CANCELLED").when(F.col("o_orderstatus") == "O", "ACTIVE").otherwise("SUSPENDED")
     return table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("sub"), F.col("o_orderkey").alias("seq"), F.to_date("o_orderdate").alias("day"), status.alias("status"), F.substring("o_orderpriority", 1, 1).cast("int").alias("tier"))
+
+
+def chosen(key, values: list):
+    """The value of a key's number, values repeating."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
+
+
+def literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return str(value) if isinstance(value, (int, float)) else "'" + str(value).replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+def chosen_sql(key: str, values: list) -> str:
+    return f"[{', '.join(literal(v) for v in values)}][({key}) % {len(values)} + 1]"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under the cluster's shared checkpoint folder. On a cluster it must be set; only local runs fall back to a
+    temporary folder of this machine."""
+    import tempfile
+    import uuid
+
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set")
+        base = tempfile.gettempdir()
+    return f"{base.rstrip('/')}/locus/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same rows from a table in the shared folder: cuts lineage."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

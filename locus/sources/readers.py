@@ -1,4 +1,4 @@
-"""Readers: text lists, JSON configurations, GeoJSON sequences, element lists, nested place tables, dated releases."""
+"""Readers and sinks: text lists, JSON configurations and state, GeoJSON sequences, element lists, place tables, dated releases, write-if-changed plans."""
 
 from __future__ import annotations
 
@@ -109,3 +109,88 @@ def gate(new_rows: int, old_rows: int, least_share: float = 0.7) -> None:
     """Refuses a result that has lost too many rows against the last one."""
     if new_rows < least_share * old_rows:
         raise ValueError(f"{new_rows} rows after {old_rows}")
+
+
+def enough(new_rows: Column, old_rows: Column, least_share: float = 0.7) -> Column:
+    """The gate as a Column: the new result has kept enough rows."""
+    return new_rows >= least_share * old_rows
+
+
+def columns_of(df: DataFrame) -> DataFrame:
+    """(column, position) of a table, from its schema alone."""
+    return df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(df.columns)], "column string, position int")
+
+
+def json_config(spark: SparkSession, path: str, schema: str, field: str) -> DataFrame:
+    """The entries of one list of a JSON configuration."""
+    return spark.read.schema(schema).json(path, multiLine=True).select(F.explode(field).alias("e")).select("e.*")
+
+
+def state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """State of an earlier run, or an empty table where there is none; other failures are raised."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def flat_places(df: DataFrame, today: Column, label: str, named: str, other: str, years: int = 3) -> DataFrame:
+    """(id, name, address, website, filed) of a flat place table: neither closed nor flagged, refreshed in the last years (or never
+    dated), with a street, filed under the label or named so; a name of another cuisine must be named so. Columns that a release
+    lacks count as null."""
+    at = lambda c: F.col(c) if c in df.columns else F.lit(None)
+    flags = at("unresolved_flags") if "unresolved_flags" in df.columns else F.lit(None).cast("array<string>")
+    name = F.lower("name")
+    filed = F.coalesce(F.contains(F.lower(F.array_join("labels", " | ")), F.lit(label)), F.lit(False))
+    kept = df.where(at("date_closed").isNull() & (flags.isNull() | (F.size(flags) == 0)) & (at("date_refreshed").isNull() | (at("date_refreshed") >= F.date_sub(today, 365 * years))))
+    kept = kept.where((filed | name.rlike(named)) & (F.coalesce("address", F.lit("")) != "") & (name.rlike(named) | ~name.rlike(other)))
+    return kept.select("id", "name", "address", at("website").cast("string").alias("website"), filed.alias("filed"))
+
+
+ADDRESS = r"^[^,|]+, *[^,|]+, *[A-Z]{2} *(\d{5})?$"
+
+
+def hand_list(rows: DataFrame, line: str, kind: str) -> DataFrame:
+    """Adds name, host, lat, lon, text and ok to lines of hand-kept lists by their format. Comments go; blank lines are left out.
+
+    closed: "name | lat, lon" or a host; deny: "name | place"; vouched: "name | street, city, ST zip | website | lat, lon" (the last
+    two in any order); add: "website | name"; fix: "name | lat, lon | address | lat, lon"; details: "name | lat, lon | better name |
+    website"; tags: "name | lat, lon | opening hours". ok is false, and the columns null, where a line is not of its format.
+    """
+    bare = rows.withColumn("_l", F.trim(F.split(line, "#", 2)[0])).where("_l <> ''").withColumn("_p", F.transform(F.split("_l", r"\|"), lambda x: F.trim(x)))
+    part = lambda i: F.nullif(F.get("_p", F.lit(i)), F.lit(""))
+    host = lambda c: F.nullif(F.regexp_replace(F.lower(F.regexp_replace(c, r"^[a-z]+://|/.*$", "")), r"^www\.", ""), F.lit(""))
+    spotted = spot(F.col("_at"))
+    is_host = F.lower(F.col("_l")).rlike(r"^[a-z0-9.\-]+\.[a-z]{2,}$")
+    rest = F.filter(F.slice("_p", 3, 9), lambda x: x != "")
+    coords = F.filter(rest, lambda x: x.rlike(r"^-?\d{1,2}\.\d+ *, *-?\d{1,3}\.\d+$"))
+    sites = F.filter(rest, lambda x: ~x.rlike(r"^-?\d{1,2}\.\d+ *, *-?\d{1,3}\.\d+$"))
+    k = F.col(kind)
+    t = bare.withColumn("_at", F.when(k == "vouched", F.get(coords, F.lit(0))).otherwise(part(1))).withColumn("_s", spotted)
+    ok = (
+        F.when(k == "closed", (part(0).isNotNull() & F.col("_s").isNotNull()) | is_host)
+        .when(k == "deny", part(0).isNotNull())
+        .when(k == "vouched", part(0).isNotNull() & F.coalesce(part(1).rlike(ADDRESS), F.lit(False)))
+        .when(k == "add", F.contains(F.coalesce(host(part(0)), F.lit("")), F.lit(".")))
+        .when(k == "fix", F.col("_s").isNotNull() & part(2).isNotNull())
+        .when(k == "details", F.col("_s").isNotNull())
+        .when(k == "tags", F.col("_s").isNotNull() & F.coalesce(part(2).rlike(r"^[A-Za-z0-9 :;,\-+]+$"), F.lit(False)))
+    )
+    t = t.withColumn("ok", F.coalesce(ok, F.lit(False)))
+    name = F.when(k == "add", part(1)).when((k == "closed") & is_host, F.lit(None)).otherwise(part(0))
+    site = F.when((k == "closed") & is_host, host(F.col("_l"))).when(k == "vouched", host(F.get(sites, F.lit(0)))).when(k == "add", host(part(0))).when(k == "details", host(part(3)))
+    text = F.when(k.isin("vouched", "deny"), part(1)).when(k.isin("fix", "details", "tags"), part(2))
+    when_ok = lambda c: F.when(F.col("ok"), c)
+    return t.select(*rows.columns, "ok", when_ok(F.substring(name, 1, 60)).alias("name"), when_ok(site).alias("host"), when_ok(F.col("_s.lat")).alias("lat"), when_ok(F.col("_s.lon")).alias("lon"), when_ok(text).alias("text"))
+
+
+def sink_plan(wanted: DataFrame, there: DataFrame, key: str, body: str) -> DataFrame:
+    """(key, action): write new and changed files, keep equal ones, delete those no longer wanted; bodies are compared by hash."""
+    w = wanted.select(F.col(key).alias("_w"), F.sha2(body, 256).alias("_new"))
+    t = there.select(F.col(key).alias("_t"), F.sha2(body, 256).alias("_old"))
+    action = F.when(F.col("_w").isNull(), "delete").when(F.col("_new") == F.col("_old"), "keep").otherwise("write")
+    return w.join(t, F.col("_w") == F.col("_t"), "full").select(F.coalesce("_w", "_t").alias(key), action.alias("action"))

@@ -115,3 +115,70 @@ def test_suppression_counts_from_kept(spark):
     rows = [("a", t, i) for i, t in enumerate([0, 20, 40, 55, 61, 100])] + [("b", 5, 9)]
     out = suppress_repeats(spark.createDataFrame(rows, "who string, t long, seq long"), ["who"], "t", "seq", 30)
     assert sorted((r.who, r.t) for r in out.collect()) == [("a", 0), ("a", 40), ("a", 100), ("b", 5)]
+
+
+def chain_of_links(spark, n):
+    rows = spark.range(n).select("id", F.col("id").alias("seq"))
+    return rows, rows.where(f"id < {n - 1}").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+
+
+def test_greedy_dedupe_finishes_or_raises(spark):
+    """A chain of neighbours keeps every other row; too few rounds are an error, no silent answer."""
+    from locus.sources.adapters import written
+
+    rows, links = chain_of_links(spark, 20)
+    assert sorted(r.id for r in greedy_dedupe(rows, links, written, most_rounds=12).collect()) == list(range(0, 20, 2))
+    with pytest.raises(RuntimeError):
+        greedy_dedupe(rows, links, written, most_rounds=4)
+
+
+def test_stream_drops_late_events_and_frees_state(spark, tmp_path):
+    """With files read one after another: an event behind the watermark is not counted, one within it is."""
+    from locus.streaming import counters
+
+    batches = [[("2026-03-01 08:00:00", 1), ("2026-03-01 09:00:00", 1)], [("2026-03-20 08:00:00", 1)], [("2026-03-20 09:00:00", 1)], [("2026-03-21 00:00:00", 1), ("2026-03-01 10:00:00", 1), ("2026-03-18 10:00:00", 1)]]
+    for i, rows in enumerate(batches):
+        df = spark.createDataFrame([(t, '{"k": %d}' % k, "view") for t, k in rows], "t string, props string, event_type string")
+        df.select(F.col("t").cast("timestamp_ntz").alias("ts"), "props", "event_type").coalesce(1).write.parquet(f"{tmp_path}/{i}")
+    stream = spark.readStream.schema("ts timestamp_ntz, props string, event_type string").option("maxFilesPerTrigger", 1).option("latestFirst", False).parquet(f"{tmp_path}/*")
+    out = {str(r.day): r.n for r in counters.fold(spark, counters.day_counts(stream, "3 days")).collect()}
+    assert out == {"2026-03-01": 2, "2026-03-18": 1, "2026-03-20": 2, "2026-03-21": 1}
+
+
+def test_deny_list_and_details_are_null_safe(spark):
+    from locus.operators import listings as L
+
+    places = spark.createDataFrame([(None, None), ("Fir  Bar", None), ("fir bar", "1 A St, Ost"), ("Hay Barn", "x"), ("Hay Barn Kitchen", "x")], "name string, address string")
+    listed = spark.createDataFrame([("fir bar", "ost")], "name string, place string")
+    out = {(r.name, r.address) for r in L.denied(places, listed, "barn", "kitchen").collect() if r.denied}
+    assert out == {("fir bar", "1 A St, Ost"), ("Hay Barn", "x")}
+    spots = spark.createDataFrame([(1, "Fir", 1.0, 2.0, None), (2, None, None, 2.0, "w")], "id int, name string, lat double, lon double, website string")
+    fixes = spark.createDataFrame([("FIR", 1.0001, 1.9999, "Fir Bar", "")], "n string, la double, lo double, better string, site string")
+    assert [tuple(r) for r in L.fixed_details(spots, fixes).orderBy("id").collect()] == [(1, "Fir Bar", None, True), (2, None, "w", False)]
+
+
+def test_open_state_at_boundaries(spark):
+    from locus.functions import dates as D
+
+    spans = spark.createDataFrame([(1, 6, 1200, 1530), (2, 0, 600, 660), (3, 0, 100, 200), (4, 3, 60, 120), (5, 0, 615, 700)], "k int, dow int, o int, c int")
+    at = lambda dow, minute: {r.k: (r.state, r.opens_in, r.opens) for r in D.open_state(spans, "k", F.struct(F.lit(dow).alias("dow"), F.lit(minute).alias("minute"))).collect()}
+    assert at(0, 50) == {1: ("closes soon", None, None), 2: ("later", 0, 600), 3: ("later", 0, 100), 4: ("day", 3, 60), 5: ("later", 0, 615)}
+    assert at(0, 615) == {1: ("day", 6, 1200), 2: ("closes soon", None, None), 3: ("day", 7, 100), 4: ("day", 3, 60), 5: ("open", None, None)}
+    assert at(6, 90)[3] == ("tomorrow", 1, 100)
+
+
+def test_menu_rules_on_edges(spark):
+    from locus.operators import menus as M
+
+    def verdict(lines, name=None):
+        df = spark.createDataFrame([(1, name, i, x) for i, x in enumerate(lines)], "id int, name string, pos int, line string")
+        r = M.classify(df, ["id"]).first()
+        return r.kind, r.dishes, r.broths
+
+    assert verdict(["Shio Ramen", "Miso Ramen"]) == ("serves", 2, 0)
+    assert verdict(["Shio Ramen $9", "Seasonal Menu", "a", "b", "Miso soup $3", "Tea $2"]) == ("serves", 1, 0)
+    assert verdict(["Seasonal Menu", "a", "b", "Shio Ramen $9", "Miso soup $3", "Tea $2"]) == ("none", 1, 0)
+    assert verdict(["House ramen", "pick miso or chicken", "x"]) == ("serves", 1, 2)
+    assert verdict(["RAMEN MENU", "Add egg $1", "Bowl five $9", "Tea $2", "Rice $2"]) == ("none", 0, 0)  # an option ends the section
+    assert verdict(["Ramen " + "so good " * 14]) == ("none", 0, 0)
+    assert verdict(["Ramen " + "so good " * 14 + "$9", "Tea $2", "Rice $2"]) == ("none", 1, 0)  # long lines name no dish
