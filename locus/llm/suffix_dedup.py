@@ -1,17 +1,20 @@
 """Removal of every byte covered by a `length`-byte string that also starts elsewhere, over all documents.
 
-Suffixes are compared to a depth of `length` bytes, bucket by bucket, and equal ones are found without ever holding more than one
-bucket. A suffix's bucket is its anchor: the leftmost smallest hash among the 32-byte strings in its first `length` bytes; equal
-suffixes have equal anchors, and neighbouring suffixes with one anchor are one run (about 2 runs per `length` bytes), which is all
-that is shuffled. Runs that are equal as a whole decide all their suffixes. Other runs of a bucket are resolved only if they agree
-with another one on half of `length` to either side of the anchor; then their bytes (at most 2 x length) meet and every suffix is compared.
+Blockwise suffix sorting with a difference cover, one bucket of suffixes at a time. A suffix's bucket is its anchor: the leftmost
+smallest hash among the 32-byte strings in its first `length` bytes. Equal suffixes have equal anchors, and neighbouring suffixes
+with one anchor are one run (about 2 runs per `length` bytes), which is all that is shuffled; a bucket of one run is done. Runs
+that are equal as a whole decide all their suffixes. Other runs of a bucket are sorted only if they agree with another one on half
+of `length` to either side of the anchor; then their bytes (at most 2 x length) meet in blocks of whole buckets.
 
-This replaces the difference-cover suffix order: a cover sample of these texts, at the sparsest period that resolves 400 bytes
-(18 of 307 positions), is ten times as many rows as the runs. See the README.
+In a block, positions at cover residues (a difference cover of PERIOD: any two positions have a common distance below PERIOD to
+cover positions) are ranked by prefix doubling, with the lengths of their common prefixes. All suffixes are sorted by their first
+PERIOD bytes; ties, which are long, are resolved by the ranks of the cover positions at that common distance. So a block needs
+memory in proportion to its bytes, whatever the length of the ties, and suffixes are compared by their bytes.
 
 Defined results: null text counts as empty; texts shorter than `length` lose nothing; copies (repeated rows included) remove each
-other wholly; an empty table gives an empty result; bytes are compared by 64-bit hashes. Very long texts are worked off in pieces,
-which cuts runs but changes no result. Extra columns are ignored.
+other wholly; an empty table gives an empty result. Whole runs, and suffixes of buckets that are cut into several blocks, are
+compared by 64-bit hashes beside the anchor's. Very long texts are worked off in pieces, which cuts runs but changes no result.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +32,9 @@ from .common import arrow_batches, group_starts, materialize, per_group, spread,
 ANCHOR = 32
 PIECE = 1 << 19
 #: Runs of a bucket that are compared in one block.
-MOST_ROWS = 24_576
+MOST_ROWS = 8_192
+#: Period of the difference cover, and bytes that suffixes are first sorted by.
+PERIOD = 32
 _rng = np.random.default_rng(97)
 TABLE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 ODD = _rng.integers(0, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
@@ -145,6 +150,109 @@ def _cut_out(length: int):
     return run
 
 
+def difference_cover(period: int) -> np.ndarray:
+    """Residues of which some two have any given difference modulo `period`; taken greedily."""
+    cover, missing = [0], set(range(1, period))
+    while missing:
+        gains = [({(x - c) % period for c in cover} | {(c - x) % period for c in cover}) & missing for x in range(period)]
+        best = max(range(period), key=lambda x: len(gains[x]))
+        cover.append(best)
+        missing -= gains[best]
+    return np.array(sorted(cover))
+
+
+COVER = difference_cover(PERIOD)
+
+
+def dense(key: np.ndarray) -> np.ndarray:
+    """Ranks of keys, equal ones sharing one."""
+    return np.unique(key, return_inverse=True)[1]
+
+
+class CoverRanks:
+    """Ranks of a buffer's cover positions by their suffixes, to a depth of `length` bytes or more, and their common prefixes."""
+
+    def __init__(self, data: np.ndarray, length: int):
+        n = len(data)
+        padded = np.concatenate([data, np.zeros(2 * PERIOD, np.uint8)]).astype(np.uint64)
+        word, k = padded, 1
+        while k < 8:
+            word = (word[: len(word) - k] << np.uint64(8 * k)) | word[k:]
+            k *= 2
+        self.word = word[: n + PERIOD]
+        # Ranks by the first 8, 16 and 32 bytes, at all positions.
+        rank = np.concatenate([dense(self.word) + 1, np.zeros(PERIOD, np.int64)])
+        while k < PERIOD:
+            m = len(rank) - k
+            rank[:m] = dense((rank[:m] << 32) | rank[k:]) + 1
+            rank[m:] = 0
+            k *= 2
+        self.first = rank[:n]
+        # Prefix doubling over cover positions: a step of PERIOD * 2^j leads from one to another.
+        at = np.arange(n)
+        self.places = at[np.isin(at % PERIOD, COVER)]
+        levels = [np.zeros(n + length + 16 * PERIOD, np.int32)]
+        levels[0][self.places] = self.first[self.places]
+        depth = PERIOD
+        while depth < length:
+            now = levels[-1]
+            pairs = (now[self.places].astype(np.int64) << 32) | now[np.minimum(self.places + depth, len(now) - 1)]
+            up = np.zeros_like(now)
+            up[self.places] = dense(pairs) + 1
+            levels.append(up)
+            depth *= 2
+        order = np.argsort(levels[-1][self.places], kind="stable")
+        self.sorted = self.places[order]
+        # Common prefix of each cover suffix with the one before it: whole blocks by rank, the rest by bytes.
+        p, q = self.sorted[:-1], self.sorted[1:]
+        same = np.zeros(len(p), np.int64)
+        for j in reversed(range(len(levels))):
+            step = PERIOD << j
+            inside = np.maximum(p, q) + same < n
+            a, b = np.minimum(p + same, n - 1), np.minimum(q + same, n - 1)
+            same += step * (inside & (levels[j][a] == levels[j][b]) & (levels[j][a] > 0))
+        open_ = same < length
+        for _ in range(PERIOD // 8):
+            x = np.flatnonzero(open_)
+            a, b = np.minimum(p[x] + same[x], len(self.word) - 1), np.minimum(q[x] + same[x], len(self.word) - 1)
+            differ = self.word[a] ^ self.word[b]
+            bits = np.zeros(len(x), np.int64)
+            for s in (32, 16, 8):
+                high = differ >> np.uint64(64 - s) == 0
+                bits += s * high
+                differ = np.where(high, differ << np.uint64(s), differ)
+            bits = np.where(self.word[a] == self.word[b], 64, bits)
+            same[x] += bits // 8
+            open_[x] = bits == 64
+        self.common = np.concatenate([[0], np.minimum(same, length)])
+
+    def classes(self, depth: int) -> np.ndarray:
+        """By position: cover suffixes that agree on their first `depth` bytes share a number."""
+        out = np.zeros(len(self.first), np.int64)
+        out[self.sorted] = np.cumsum(self.common < depth)
+        return out
+
+
+def repeated_suffixes(data: np.ndarray, starts: np.ndarray, group: np.ndarray, length: int) -> np.ndarray:
+    """Which of the starts of `length`-byte strings (of a group each, within the buffer) have an equal one in their group."""
+    found = np.zeros(len(starts), bool)
+    if len(starts) < 2:
+        return found
+    ranks = CoverRanks(data, length)
+    # Sort by the first PERIOD bytes; what is alone then is done.
+    first = dense((group.astype(np.int64) << 32) | ranks.first[starts])
+    tied = np.flatnonzero(np.bincount(first)[first] > 1)
+    residue = starts[tied] % PERIOD
+    for ahead in range(PERIOD):
+        own = tied[np.isin((residue + ahead) % PERIOD, COVER)]
+        if len(own) < 2:
+            continue
+        key = (first[own].astype(np.int64) << 32) | ranks.classes(length - ahead)[starts[own] + ahead]
+        _, of, count = np.unique(key, return_inverse=True, return_counts=True)
+        found[own] |= count[of] > 1
+    return found
+
+
 def _resolve(length: int):
     def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
         """Of whole blocks: spans s..e of starts whose suffix is equal to another one in its block, for runs that stand alone.
@@ -158,38 +266,32 @@ def _resolve(length: int):
         data, offsets = text_buffer(table["string"].combine_chunks())
         g = 0
         while g < len(groups) - 1:  # some whole blocks at a time
-            to = max(g + 1, int(np.searchsorted(offsets[groups], offsets[groups[g]] + 4 * PIECE, side="right")) - 1)
-            parts, lo = [], int(groups[g])
-            while lo < groups[to]:  # hashed by smaller parts: only hash, row and place of a suffix are kept
-                hi = min(int(groups[to]), max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + PIECE, side="right")) - 1))
-                start, of = valid_starts(int(offsets[lo]), int(offsets[hi]), offsets[lo : hi + 1], length)
-                row = of + lo
-                h = string_hashes(data[offsets[lo] : offsets[hi]], length)[0][start]
-                parts.append((h, row.astype(np.int32), (start + int(offsets[lo]) - offsets[row] + first[row]).astype(np.int32)))
-                lo = hi
+            to = max(g + 1, int(np.searchsorted(offsets[groups], offsets[groups[g]] + 2 * PIECE, side="right")) - 1)
+            lo, hi = int(groups[g]), int(groups[to])
             g = to
-            h, row, begin = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            parts = None
-            order = np.argsort(h ^ (group[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-            ranked = h[order]
-            cut = group_starts(ranked, group[row[order]])
-            single = np.zeros(len(h), bool)
-            single[order[cut[:-1][np.diff(cut) == 1]]] = True
-            pick = ~single & alone[row]
-            # Across blocks: each distinct suffix of a block once.
-            one = np.zeros(len(h), bool)
-            one[order[cut[:-1]]] = True
-            cross = np.flatnonzero(one & (blocks[row] > 1))
+            part = data[offsets[lo] : offsets[hi]]
+            start, of = valid_starts(int(offsets[lo]), int(offsets[hi]), offsets[lo : hi + 1], length)
+            row = of + lo
+            begin = (start + int(offsets[lo]) - offsets[row] + first[row]).astype(np.int32)
+            many = repeated_suffixes(part, start, group[row] - group[lo], length)
+            pick = many & alone[row]
+            # Across blocks: each distinct suffix of a block once, by its hash.
+            cross, h = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+            split = np.flatnonzero(blocks[row] > 1)
+            if len(split):
+                h = string_hashes(part, length)[0][start[split]]
+                cross = split[np.unique(h ^ (group[row[split]].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]]
+                h = string_hashes(part, length)[0][start[cross]]
             at, where = begin[pick], row[pick]
             # Neighbouring starts of a run make a span.
             cut = group_starts(where, at - np.arange(len(at)))
             s, e, rows = at[cut[:-1]], at[cut[1:] - 1] if len(at) else at, where[cut[:-1]]
             rows = np.concatenate([rows, row[cross]])
-            undecided = np.concatenate([np.zeros(len(s), bool), alone[row[cross]] & single[cross]])
+            undecided = np.concatenate([np.zeros(len(s), bool), alone[row[cross]] & ~many[cross]])
             for x in range(0, len(rows), 100_000):
                 y = slice(x, x + 100_000)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows[y])), pa.array(rids[rows[y]]), pa.array(np.concatenate([s, begin[cross]])[y].astype(np.int32)), pa.array(np.concatenate([e, begin[cross]])[y].astype(np.int32)), pa.array(bucket[rows[y]]), pa.array(np.concatenate([np.zeros(len(s), np.uint64), h[cross]]).view(np.int64)[y]), pa.array(np.arange(len(rows))[y] >= len(s)), pa.array(undecided[y])],
+                    [ids.take(pa.array(rows[y])), pa.array(rids[rows[y]]), pa.array(np.concatenate([s, begin[cross]])[y].astype(np.int32)), pa.array(np.concatenate([e, begin[cross]])[y].astype(np.int32)), pa.array(bucket[rows[y]]), pa.array(np.concatenate([np.zeros(len(s), np.uint64), h]).view(np.int64)[y]), pa.array(np.arange(len(rows))[y] >= len(s)), pa.array(undecided[y])],
                     names=["doc_id", "rid", "s", "e", "bucket", "suffix", "cross", "undecided"],
                 )
 
@@ -230,12 +332,6 @@ def _remove(length: int, with_text: bool):
 NEW = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
 
 
-def _salted(keyed: DataFrame) -> DataFrame:
-    """Adds block and blocks to rows with bucket and salt: buckets of over MOST_ROWS rows are cut."""
-    sizes = keyed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / MOST_ROWS).cast("int").alias("blocks"))
-    return keyed.join(sizes, "bucket").withColumn("block", F.pmod(F.col("salt"), F.col("blocks")).cast("int"))
-
-
 def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     """(doc_id, rid, s, e): spans of starts s..e of `length`-byte strings that also start elsewhere, for rows (doc_id, rid, text);
     rid is a hash of the row's doc_id and text, so that repeated rows share what is found."""
@@ -250,12 +346,13 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     shared = materialize(runs.join(often, "anchor"))
     strings = materialize(shared.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "s", "e", "doc_id")).alias("one"), F.first("right").alias("right"), F.first("left").alias("left")))
     full = shared.join(strings.where("n > 1").select("anchor", "whole"), ["anchor", "whole"]).select("doc_id", "rid", "s", "e")
-    sides = []
-    for side in ("right", "left"):
-        keyed = strings.where(F.col(side).isNotNull()).withColumn("bucket", F.xxhash64(F.lit(side), "anchor", side))
-        wanted = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("bucket")
-        sides.append(keyed.join(wanted, "bucket").select("bucket", F.col("one.rid").alias("salt"), F.struct(F.col("one.doc_id").alias("doc_id"), F.col("one.rid").alias("rid"), F.col("one.s").alias("s"), F.col("one.e").alias("e"), (F.col("n") == 1).alias("alone"), "bucket").alias("r")))
-    asked = _salted(sides[0].unionByName(sides[1])).select(F.struct("r.*", "block", "blocks").alias("r"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("at")) for side in ("right", "left")])
+    keyed = strings.select("n", "one", F.inline(sides), "anchor").where(F.col("at").isNotNull()).withColumn("bucket", F.xxhash64("side", "anchor", "at"))
+    # A bucket's rows meet its size by one join, where hot buckets can be split; large ones are cut into blocks.
+    sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1")
+    sizes = materialize(sizes.select("bucket", F.ceil(F.col("k") / MOST_ROWS).cast("int").alias("blocks")))
+    wanted = keyed.select("n", "one", "bucket").join(sizes, "bucket").withColumn("block", F.pmod(F.col("one.rid"), F.col("blocks")).cast("int"))
+    asked = wanted.select(F.struct(F.col("one.doc_id").alias("doc_id"), F.col("one.rid").alias("rid"), F.col("one.s").alias("s"), F.col("one.e").alias("e"), (F.col("n") == 1).alias("alone"), "bucket", "block", "blocks").alias("r"))
     # A text's runs are at most as many as its bytes.
     per_text = asked.groupBy(F.col("r.doc_id").alias("of"), F.col("r.rid").alias("rid")).agg(F.collect_list("r").alias("runs"))
     once = rows.select("doc_id", "rid", "text")

@@ -347,6 +347,32 @@ def test_suffix_dedup(docs, empty, most, monkeypatch):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("length", [128, 256, 400, 401])
+def test_cover_ranks_against_plain_comparison(length):
+    """Repeated strings of a buffer by difference-cover ranks and by comparing all strings; long ties, periods and near misses."""
+    rng = np.random.default_rng(length)
+    base = rng.integers(97, 100, 900, dtype=np.uint8)
+    rows = [base.copy(), base.copy(), base[:700].copy(), np.tile(base[:3], 300), np.tile(base[:7], 100), rng.integers(97, 99, 800, dtype=np.uint8)]
+    rows[1][450] ^= 1
+    rows.append(np.concatenate([base[100:620], base[50:140]]))
+    data = np.concatenate(rows)
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
+    for groups in ([0] * 7, [0, 0, 1, 1, 0, 1, 0]):
+        starts, of = suffix_dedup.valid_starts(0, len(data), offsets, length)
+        group = np.array(groups)[of]
+        got = suffix_dedup.repeated_suffixes(data, starts, group, length)
+        seen = Counter((g, data[s : s + length].tobytes()) for s, g in zip(starts.tolist(), group.tolist(), strict=True))
+        assert got.tolist() == [seen[g, data[s : s + length].tobytes()] > 1 for s, g in zip(starts.tolist(), group.tolist(), strict=True)]
+        assert got.any() and not got.all()
+
+
+def test_difference_cover():
+    for period in (7, 31, 32, 64):
+        cover = suffix_dedup.difference_cover(period)
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period)) and len(cover) ** 2 < 3 * period
+
+
+
 @pytest.mark.parametrize("most", [20000, 3])
 def test_simhash(docs, empty, most, monkeypatch):
     monkeypatch.setattr(simhash, "MOST_ROWS", most)
