@@ -5,17 +5,16 @@ a Krichevsky-Trofimov estimator, mixed over all context depths 0..4 with weight
 training texts and then frozen, so the counts can be summed in any order, by bucket and then over buckets. A context that the
 training texts lack is predicted as at its longest suffix that they have.
 
-Bytes in a context are known by class: the 127 most frequent bytes of the training texts have a class each, all others share one.
-So two classes make at most 16,384 contexts with at most as many below each: the tree is worked off by such branches, up to the
-root and down again, and only the numbers of the 129 upper contexts are collected for that. Nothing is left out: however many
-contexts the corpus has, the probability of each pair of context and byte that occurs in any text is a row of a table.
+Contexts are whole bytes. Two bytes make a branch of at most 65,536 contexts: the tree is worked off by branches, up to the root and
+down again, and only the numbers of the 257 upper contexts are collected for that. Nothing is left out: however many contexts the
+corpus has, the probability of each pair of context and byte that occurs in any text is a row of a table.
 
 Texts are dealt into buckets. A bucket sends each of its distinct tokens once, with its training count; the totals of tokens that
 more than one bucket knows come back to it. It asks once for each of its distinct pairs of context and byte, by a join.
 
 Defined results: null text counts as empty: one token (the end), score of the closing NUL alone. Equal texts get equal scores.
-Without training rows N = V = 0 and every byte has probability 1/256. Very long texts are scored in chunks. Extra columns are
-ignored.
+Without training rows N = V = 0 and every byte has probability 1/256. Very long texts are scored in chunks; an empty table gives an
+empty result; tokens with equal counts are told apart by their 64-bit hashes. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,14 +25,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, group_starts, materialize, per_group, text_buffer
 from .language_id import holds_out
 
-#: Bits of the class at distance 1, 2, ... in a context.
-CLASS_BITS = (7, 7, 7, 7)
+#: Bits of a context's byte at distance 1, 2, ...
+CLASS_BITS = (8, 8, 8, 8)
 DEPTH = len(CLASS_BITS)
 SLOT_BITS = sum(CLASS_BITS)
 #: Bytes of text in a bucket of the base score, about.
@@ -41,21 +40,6 @@ BUCKET_BYTES = 10 << 20
 CHUNK = 1 << 20
 
 
-def byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(256, np.int64)
-    for batch in batches:
-        data, offsets = text_buffer(batch.column("text"))
-        total += np.bincount(data[offsets[0] : offsets[-1]], minlength=256)
-    yield pa.RecordBatch.from_arrays([pa.array(np.arange(256, dtype=np.int32)), pa.array(total)], names=["byte", "n"])
-
-
-def classes(frequency: np.ndarray) -> np.ndarray:
-    """DEPTH x 256: the class of a byte at each distance; more frequent bytes come first, ties by value."""
-    rank = np.empty(256, np.int64)
-    rank[np.lexsort((np.arange(256), -frequency))] = np.arange(256)
-    return np.array([np.minimum(rank, (1 << b) - 1) for b in CLASS_BITS], dtype=np.uint8)
-
-
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Texts with DEPTH NULs before and one after each, and the places of the bytes to predict (the closing NUL included)."""
     lengths = np.diff(offsets)
@@ -68,12 +52,12 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, at
 
 
-def keys(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray) -> np.ndarray:
+def keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """slot << 8 | byte for each byte to predict of each text."""
     text, at = padded(data, offsets)
     key = np.zeros(len(text), np.uint64)
     for d in range(DEPTH):
-        key[d + 1 :] = (key[d + 1 :] << np.uint64(CLASS_BITS[d])) | cls[d][text[: len(text) - d - 1]]
+        key[d + 1 :] = (key[d + 1 :] << np.uint64(CLASS_BITS[d])) | text[: len(text) - d - 1]
     return ((key << np.uint64(8)) | text)[at]
 
 
@@ -93,12 +77,12 @@ def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return k[order][cut], np.add.reduceat(n[order], cut) if len(k) else n
 
 
-def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct keys of texts in ascending order, and how often each occurs in training texts."""
     found = []
     for a, b in chunks(offsets):
         flag = np.repeat(training[a:b].astype(np.uint64), np.diff(offsets[a : b + 1]) + 1)
-        ranked = np.sort((keys(data, offsets[a : b + 1], cls) << np.uint64(1)) | flag).astype(np.int64)
+        ranked = np.sort((keys(data, offsets[a : b + 1]) << np.uint64(1)) | flag).astype(np.int64)
         cut = group_starts(ranked >> 1)[:-1]
         found.append((ranked[cut] >> 1, np.add.reduceat(ranked & 1, cut)))
         if len(found) > 16:
@@ -106,18 +90,15 @@ def key_counts(data: np.ndarray, offsets: np.ndarray, training: np.ndarray, cls:
     return _merged(found)
 
 
-def _count(cls: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for batch in batches:
-            found.append(key_counts(*text_buffer(batch.column("text")), batch.column("training").to_numpy(zero_copy_only=False), cls))
-            if len(found) > 16:
-                found = [_merged(found)]
-        k, n = _merged(found)
-        for a in range(0, len(k), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["key", "n"])
-
-    return run
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = []
+    for batch in batches:
+        found.append(key_counts(*text_buffer(batch.column("text")), batch.column("training").to_numpy(zero_copy_only=False)))
+        if len(found) > 16:
+            found = [_merged(found)]
+    k, n = _merged(found)
+    for a in range(0, len(k), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(k[a : a + 100_000]), pa.array(n[a : a + 100_000])], names=["key", "n"])
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -150,7 +131,7 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
 
 def bit_counts(slots: np.ndarray, key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Zeros and ones per slot and bit prefix (column p - 1 belongs to prefix p in 1..255)."""
-    tree = np.zeros((len(slots), 512))  # at most 16,384 slots of a branch: 64 MB
+    tree = np.zeros((len(slots), 512))  # the slots of a branch, as many as texts have
     tree[np.searchsorted(slots, key >> 8), 256 + (key & 255)] = n
     for p in range(255, 0, -1):
         tree[:, p] = tree[:, 2 * p] + tree[:, 2 * p + 1]
@@ -243,11 +224,11 @@ def _byte_logs(one: np.ndarray) -> np.ndarray:
     return out[:, 256:]
 
 
-def text_scores(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray, key: np.ndarray, log: np.ndarray) -> np.ndarray:
+def text_scores(data: np.ndarray, offsets: np.ndarray, key: np.ndarray, log: np.ndarray) -> np.ndarray:
     """log10 probability of each text with its closing NUL, from sorted keys (all of these texts' among them) and their logs."""
     out = np.zeros(len(offsets) - 1)
     for a, b in chunks(offsets):
-        k = keys(data, offsets[a : b + 1], cls)
+        k = keys(data, offsets[a : b + 1])
         of = np.repeat(np.arange(b - a, dtype=np.uint64), np.diff(offsets[a : b + 1]) + 1)
         ranked = np.sort((k << np.uint64(20)) | of)  # 8 + SLOT_BITS bits of key, at most 2^20 texts
         k = (ranked >> np.uint64(20)).astype(np.int64)
@@ -257,14 +238,6 @@ def text_scores(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray, key: np.
     return out
 
 
-def byte_classes(texts: DataFrame) -> np.ndarray:
-    """The classes of bytes, by their frequency in column text. Collected: 256 rows."""
-    frequency = texts.select("text").mapInArrow(byte_counts, "byte int, n long").groupBy("byte").agg(F.sum("n").alias("n")).toArrow()
-    by_byte = np.zeros(256, np.int64)
-    by_byte[frequency["byte"].to_numpy()] = frequency["n"].to_numpy()
-    return classes(by_byte)
-
-
 def _up(table: pa.Table) -> Iterator[pa.RecordBatch]:
     near, sums = upward(table["key"].to_numpy(), table["n"].to_numpy())
     width = sums.shape[2]
@@ -283,7 +256,7 @@ def _down(top):
 def key_logs(counts: DataFrame) -> DataFrame:
     """(key, log): log10 probability of each distinct key of counts (key, n), where n sums to how often training texts have it.
 
-    A task works off whole branches, each at most 2^14 contexts with 256 bytes. Collected: 128 x 255 rows of sums."""
+    A task works off whole branches, each at most 2^16 contexts with 256 bytes. Collected: 256 x 255 rows of sums."""
     sums = counts.groupBy("key").agg(F.sum("n").alias("n"))
     sums = materialize(sums.withColumn("branch", F.shiftright("key", 8 + BELOW[2]).cast("int")))
     dealt = sums.repartition("branch").sortWithinPartitions("branch", "key")
@@ -322,52 +295,46 @@ def bucket_counts(table: pa.Table) -> pa.Table:
     return pa.table({"bucket": pa.array(np.full(len(token), table["bucket"][0].as_py(), np.int32)), "token": token, "n": np.concatenate([n, np.zeros(len(other), np.int64)])})
 
 
-def _bucket_keys(cls: np.ndarray):
-    def run(table: pa.Table) -> pa.Table:
-        """(bucket, key): each distinct key of a bucket's texts."""
-        key = key_counts(*text_buffer(table["text"].combine_chunks()), np.zeros(table.num_rows, bool), cls)[0]
-        return pa.table({"bucket": pa.array(np.full(len(key), table["bucket"][0].as_py(), np.int32)), "key": key})
-
-    return run
-
-
-def _score_bucket(cls: np.ndarray):
-    def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        """docs: rows of a bucket; totals: (bucket, tree, token, value): the training counts of tokens that other buckets know
-        too, and, under tree, the logs of the bucket's keys."""
-        if not docs.num_rows:
-            return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
-        counts: Counter = Counter()
-        data, offsets = text_buffer(docs["text"].combine_chunks())
-        texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]  # views
-        for text, train in zip(texts, docs["training"].to_pylist(), strict=True):
-            words = _tokens(text.tobytes())
-            if train:
-                counts.update(words)
-            else:
-                for w in words:
-                    if w not in counts:
-                        counts[w] = 0
-        words = list(counts)
-        n = np.fromiter(counts.values(), dtype=np.int64, count=len(words))
-        tree, token, value = totals["tree"].to_numpy(), totals["token"].to_numpy(), totals["value"].to_numpy()
-        order = np.lexsort((token, tree))
-        tokens = len(tree) - int(tree.sum())
-        token, value = token[order], value[order]
-        if tokens:
-            own = _hashes(words)
-            at = np.minimum(np.searchsorted(token[:tokens], own), tokens - 1)
-            n = np.where(token[at] == own, value[at].astype(np.int64), n)
-        place = dict(zip(words, range(len(words)), strict=True))
-        logs, known = np.log10(n + 0.5), n > 0
-        lengths = np.zeros(len(texts), np.int64)
-        sums, knows = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
-            lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
-        return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, cls, token[tokens:], value[tokens:])})
-
-    return run
+def _bucket_keys(table: pa.Table) -> pa.Table:
+    """(bucket, key): each distinct key of a bucket's texts."""
+    key = key_counts(*text_buffer(table["text"].combine_chunks()), np.zeros(table.num_rows, bool))[0]
+    return pa.table({"bucket": pa.array(np.full(len(key), table["bucket"][0].as_py(), np.int32)), "key": key})
+
+
+def _score_bucket(docs: pa.Table, totals: pa.Table) -> pa.Table:
+    """docs: rows of a bucket; totals: (bucket, tree, token, value): the training counts of tokens that other buckets know
+    too, and, under tree, the logs of the bucket's keys."""
+    if not docs.num_rows:
+        return pa.table({"doc_id": docs["doc_id"], "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "logs": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
+    counts: Counter = Counter()
+    data, offsets = text_buffer(docs["text"].combine_chunks())
+    texts = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]  # views
+    for text, train in zip(texts, docs["training"].to_pylist(), strict=True):
+        words = _tokens(text.tobytes())
+        if train:
+            counts.update(words)
+        else:
+            for w in words:
+                if w not in counts:
+                    counts[w] = 0
+    words = list(counts)
+    n = np.fromiter(counts.values(), dtype=np.int64, count=len(words))
+    tree, token, value = totals["tree"].to_numpy(), totals["token"].to_numpy(), totals["value"].to_numpy()
+    order = np.lexsort((token, tree))
+    tokens = len(tree) - int(tree.sum())
+    token, value = token[order], value[order]
+    if tokens:
+        own = _hashes(words)
+        at = np.minimum(np.searchsorted(token[:tokens], own), tokens - 1)
+        n = np.where(token[at] == own, value[at].astype(np.int64), n)
+    place = dict(zip(words, range(len(words)), strict=True))
+    logs, known = np.log10(n + 0.5), n > 0
+    lengths = np.zeros(len(texts), np.int64)
+    sums, knows = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        at = np.fromiter(map(place.__getitem__, _tokens(text.tobytes())), dtype=np.int64)
+        lengths[i], sums[i], knows[i] = len(at), logs[at].sum(), known[at].sum()
+    return pa.table({"doc_id": docs["doc_id"], "n_tokens": lengths, "n_known": knows, "logs": sums, "score": text_scores(data, offsets, token[tokens:], value[tokens:])})
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -378,24 +345,23 @@ def score_texts(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     arrow_batches(spark)
     rows = docs.select("doc_id", "text", F.coalesce("training", F.lit(False)).alias("training"))
-    cls = byte_classes(rows.where("training"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    logs = key_logs(rows.select("text", "training").mapInArrow(_count(cls), "key long, n long"))
+    logs = key_logs(rows.select("text", "training").mapInArrow(_count, "key long, n long"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES), min(12, rows.limit(12).count()))
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).cast("int"))
     counts = dealt.groupBy("bucket").applyInArrow(bucket_counts, "bucket int, token long, n long")
-    # A token's rows are as many as the buckets that know it; the sums need no more than them.
-    token = Window.partitionBy("token")
-    both = counts.select("*", F.sum("n").over(token).alias("total"), F.row_number().over(token.orderBy("bucket")).alias("k"), F.count(F.lit(1)).over(token).alias("in_buckets"))
-    both = materialize(both.where("in_buckets > 1 or total > 0").select("bucket", "token", "total", F.col("k") == 1, "in_buckets").toDF("bucket", "token", "total", "first", "in_buckets"))
-    v, n = both.where("first and total > 0").agg(F.count(F.lit(1)), F.sum("total")).first()
+    counts = materialize(counts)
+    # Totals by partial aggregation; a common word's row meets the buckets that know it in a join, where hot keys can be split.
+    tokens = materialize(counts.groupBy("token").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("in_buckets")))
+    v, n = tokens.where("total > 0").agg(F.count(F.lit(1)), F.sum("total")).first()
     ends = rows.where("training").count()
     v, n = v + (ends > 0), (n or 0) + ends
-    totals = both.where("in_buckets > 1").select("bucket", F.lit(False).alias("tree"), "token", F.col("total").cast("double").alias("value"))
-    asked = dealt.groupBy("bucket").applyInArrow(_bucket_keys(cls), "bucket int, key long")
+    several = tokens.where("in_buckets > 1").select("token", "total")
+    totals = counts.select("bucket", "token").join(several, "token").select("bucket", F.lit(False).alias("tree"), "token", F.col("total").cast("double").alias("value"))
+    asked = dealt.groupBy("bucket").applyInArrow(_bucket_keys, "bucket int, key long")
     totals = totals.unionByName(asked.join(logs, "key").select("bucket", F.lit(True).alias("tree"), F.col("key").alias("token"), F.col("log").cast("double").alias("value")))
-    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket(cls), f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
+    scored = dealt.groupBy("bucket").cogroup(totals.groupBy("bucket")).applyInArrow(_score_bucket, f"doc_id {kind}, n_tokens long, n_known long, logs double, score double")
     end_log = float(np.log10(ends + 0.5))
     unit = float(np.log10(n + 0.5 * (v + 1)))
     return scored.select(

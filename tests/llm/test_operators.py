@@ -197,13 +197,11 @@ def test_lm_scoring(docs, empty):
     texts = sorted(((r[1] or "", r[0] is None or r[0] % 5 != 1) for r in ROWS))
     data, offsets = lm_scoring.text_buffer(pa.array([x for x, _ in texts]))
     training = np.array([x for _, x in texts])
-    frequency = sum(np.bincount(np.frombuffer(x.encode(), np.uint8), minlength=256) for x, t in texts if t)
-    cls = lm_scoring.classes(frequency)
-    key, n = lm_scoring.key_counts(data, offsets, training, cls)
-    total = np.zeros((128, 3, 255))
+    key, n = lm_scoring.key_counts(data, offsets, training)
+    total = np.zeros((256, 3, 255))
     near, sums = lm_scoring.upward(key, n)
     total[near] = sums
-    want = lm_scoring.text_scores(data, offsets, cls, key, lm_scoring.downward(key, n, lm_scoring.crown(total)))
+    want = lm_scoring.text_scores(data, offsets, key, lm_scoring.downward(key, n, lm_scoring.crown(total)))
     want = dict(zip((x for x, _ in texts), want, strict=True))
     assert all(abs(r.score - want[text[r.doc_id] or ""]) < 1e-6 * abs(r.score) for r in out)
     assert lm_scoring.score_texts(empty.withColumn("training", F.lit(True))).count() == 0
@@ -218,17 +216,16 @@ def test_context_tree_sums_to_one_and_equals_recursion():
 
     import pyarrow as pa
 
-    data = pa.array(["abracadabra", "abra cadabra", "banana"])
+    data = pa.array(["abracadabra", "abra cadabra", "banana ☃é"])
     d, o = lm_scoring.text_buffer(data)
-    cls = lm_scoring.classes(np.bincount(d, minlength=256))
-    k, n = lm_scoring.key_counts(d, o, np.ones(3, bool), cls)
+    k, n = lm_scoring.key_counts(d, o, np.ones(3, bool))
     whole = np.unique(np.repeat((k >> 8) << 8, 256) + np.tile(np.arange(256), len(k)))  # every byte after every context
     text = b"abracab"
     d2, o2 = lm_scoring.text_buffer(pa.array([text.decode()]))
-    whole = np.union1d(whole, lm_scoring.key_counts(d2, o2, np.zeros(1, bool), cls)[0])
+    whole = np.union1d(whole, lm_scoring.key_counts(d2, o2, np.zeros(1, bool))[0])
     times = np.zeros(len(whole), np.int64)
     times[np.searchsorted(whole, k)] = n
-    total = np.zeros((128, 3, 255))
+    total = np.zeros((256, 3, 255))
     near, sums = lm_scoring.upward(whole, times)
     total[near] = sums
     logs = lm_scoring.downward(whole, times, lm_scoring.crown(total))
@@ -272,7 +269,7 @@ def test_context_tree_sums_to_one_and_equals_recursion():
         for j in range(8):
             p = one(s[i - depth : i], bits[:j])
             want += math.log10(p if bits[j] == "1" else 1 - p)
-    assert abs(lm_scoring.text_scores(d2, o2, cls, whole, logs)[0] - want) < 1e-9
+    assert abs(lm_scoring.text_scores(d2, o2, whole, logs)[0] - want) < 1e-9
 
 
 def vectors(spark):
