@@ -285,6 +285,7 @@ def vectors(spark):
 @pytest.mark.parametrize("most", [4096, 8])
 def test_embeddings(spark, most, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "MOST_ROWS", most)
+    monkeypatch.setattr(embedding_dedup, "MOST_VECTORS", most)
     rows, df = vectors(spark)
     out = embedding_dedup.near_duplicates(df.withColumn("label", F.lit(1)).withColumn("item", F.lit(2))).collect()
     assert len(out) == len(rows)
