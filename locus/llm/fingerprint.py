@@ -92,7 +92,7 @@ def code_points(text: str) -> np.ndarray:
 
 #: Columns of a result row; an edge row (one a partition) also has the partition's number and its first and last text.
 RESULT = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-KINDS = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+KINDS = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 
 
 def compared(text: str, sign: np.ndarray, after: str, after_sign: np.ndarray) -> tuple:
@@ -100,8 +100,8 @@ def compared(text: str, sign: np.ndarray, after: str, after_sign: np.ndarray) ->
     half = len(text) // 2
     edited = text[: len(text) - half] + after[:half]
     edited_sign = signature(code_points(edited))
-    digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-    return len(text), digest, sign.tobytes().hex(), edited_sign.tobytes().hex(), float((sign == edited_sign).mean()), float((sign == after_sign).mean())
+    digest = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).digest()
+    return len(text), digest, sign.tobytes(), edited_sign.tobytes(), float((sign == edited_sign).mean()), float((sign == after_sign).mean())
 
 
 def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,10 +120,10 @@ def _inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last = doc_id, text, sign
             part = batch.column("part")[0].as_py() if batch.num_rows else 0
             if rows:
-                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [kind, pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2], strict=True)]
+                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [kind, pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2], strict=True)]
                 yield pa.RecordBatch.from_arrays([*values, pa.nulls(len(rows), pa.int32()), *[pa.nulls(len(rows), pa.string())] * 2], names=[*RESULT, "part", "first", "last"])
         if last is not None:
-            values = [pa.array([last[0]], kind), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.string())] * 3, *[pa.nulls(1, pa.float64())] * 2]
+            values = [pa.array([last[0]], kind), pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.binary())] * 3, *[pa.nulls(1, pa.float64())] * 2]
             yield pa.RecordBatch.from_arrays([*values, pa.array([part], pa.int32()), pa.array([first]), pa.array([last[1]])], names=[*RESULT, "part", "first", "last"])
 
 
@@ -133,7 +133,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [compared(text, signature(code_points(text)), after, signature(code_points(after))) for text, after in zip(batch.column("last").to_pylist(), batch.column("after").to_pylist(), strict=True)]
             if rows:
-                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2], strict=True)]
+                values = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), [pa.int64(), *[pa.binary()] * 3, *[pa.float64()] * 2], strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *values], names=RESULT)
 
 
@@ -155,7 +155,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     numbers = edges.select("part").withColumn("next", F.coalesce(F.lead("part").over(in_order), F.min("part").over(in_order)))
     firsts = edges.select(F.col("part").alias("next"), F.col("first").alias("after"))
     across = edges.select("doc_id", "last", "part").join(numbers, "part").join(firsts, "next").select("doc_id", "last", "after")
-    return found.where("part is null").select(*RESULT).unionByName(across.mapInArrow(_across, f"doc_id {kind}, {KINDS}"))
+    every = found.where("part is null").select(*RESULT).unionByName(across.mapInArrow(_across, f"doc_id {kind}, {KINDS}"))
+    return every.select(*[F.lower(F.hex(c)).alias(c) if c.endswith(("sha256", "fingerprint")) else F.col(c) for c in RESULT])
 
 
 def op3_fingerprints(spark, sf_dir: str) -> DataFrame:
