@@ -1,10 +1,11 @@
 """Mixing sources to target weights by entropy balancing, in DataFrame and SQL functions only.
 
-Every word of the corpus starts with rate 1. The balanced rates are those nearest to it in relative entropy whose words per
-source sum to the targets; the convex dual sum_s(lambda_s * target_s) - sum_i(size_i * exp(lambda_s(i))) gives documents the
-exponentially tilted rate exp(lambda of their source). Its gradient and (diagonal) Hessian need only sum_i(size_i) per source,
-which one distributed aggregation yields; Newton steps then fold in SQL over the table of sources. Since targets stop at `most`
-times the source, no rate exceeds `most`.
+Every word of the corpus starts with rate 1. The balanced rates are those nearest to it in relative entropy whose words per group
+sum to the targets, for one or several sets of groups that overlap (sources, languages). The convex dual sum_g(lambda_g *
+target_g) - sum_i(size_i * exp(sum of lambda of i's groups)) gives documents exponentially tilted rates. Each Newton step is a
+distributed aggregation: the words of each group at the present rates, which are the dual's gradient and, since groups of one set
+do not overlap, that set's diagonal of the Hessian; sets take their steps in turn. Multipliers are tables of a row a group. Since
+targets stop at `most` times a source, no rate exceeds `most`.
 
 Rates become whole copies: each document gets floor(rate) copies, and those that come first in a seeded hash order get one more,
 up to the point where the source's words come nearest to its target. That point is found in two levels: sums per (source, hash
@@ -54,14 +55,34 @@ def targets_by_weight(sources: DataFrame, weights: tuple[float, ...], most: floa
     return t.withColumn("t", level).withColumn("target", F.coalesce(F.least(F.col("cap"), F.col("t") * F.col("weight")), F.col("cap"))).select("source", "source_size", "target")
 
 
-def newton_rate(target: Column, size: Column) -> Column:
-    """exp(lambda) at the maximum of the dual, by Newton steps no longer than 1."""
-
-    def step(lam: Column, _: Column) -> Column:
-        slope = size * F.exp(lam)
-        return lam + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (target - slope) / slope))
-
-    return F.when((size > 0) & (target > 0), F.exp(F.aggregate(F.sequence(F.lit(1), F.lit(NEWTON_STEPS)), F.lit(0.0), step))).otherwise(F.lit(0.0))
+def balance(rows: DataFrame, targets: dict[str, DataFrame], most: float = 3.0) -> dict[str, DataFrame]:
+    """(group, target, lam) of each set of groups: Newton steps on the dual, no longer than 1, until all targets are met to one part
+    in 10^12. rows are (size, n, <set>...), targets name -> (<set>, target). Sets whose targets contradict each other do not
+    settle: then the last step's multipliers are returned. A group without words, or with target 0, keeps multiplier 0."""
+    small = {c: t.limit(100_001).count() <= 100_000 for c, t in targets.items()}
+    lam = {c: t.select(c, "target", F.lit(0.0).alias("lam")) for c, t in targets.items()}
+    for _ in range(NEWTON_STEPS):
+        worst = 0.0
+        for c in lam:
+            s = F.coalesce("words", F.lit(0.0))
+            sums = tilted(rows, lam, small).groupBy(F.col(c).alias("_g")).agg(F.sum(F.col("size") * F.col("n") * F.exp("tilt")).alias("words"))
+            error = F.when((s > 0) & (F.col("target") > 0), (F.col("target") - s) / s).otherwise(0.0)
+            step = lam[c].join(sums, F.col(c).eqNullSafe(F.col("_g")), "left").withColumn("error", error)
+            lam[c] = materialize(step.select(c, "target", (F.col("lam") + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), "error"))).alias("lam"), F.abs("error").alias("error")))
+            worst = max(worst, lam[c].agg(F.max("error")).first()[0] or 0.0)
+        if worst < 1e-12:
+            break
+    return lam
+
+
+def tilted(rows: DataFrame, lam: dict[str, DataFrame], small: dict[str, bool]) -> DataFrame:
+    """Adds tilt, the sum of the multipliers of a row's groups. Tables counted to be small, up to 100,000 groups, are broadcast."""
+    out = rows.withColumn("tilt", F.lit(0.0))
+    for i, (c, table) in enumerate(lam.items()):
+        own = table.select(F.col(c).alias(f"_g{i}"), F.col("lam").alias(f"_l{i}"))
+        own = F.broadcast(own) if small[c] else own
+        out = out.join(own, F.col(c).eqNullSafe(F.col(f"_g{i}")), "left").withColumn("tilt", F.col("tilt") + F.coalesce(f"_l{i}", F.lit(0.0))).drop(f"_g{i}", f"_l{i}")
+    return out
 
 
 def order_key(seed: int, *columns: Column) -> Column:
@@ -72,7 +93,7 @@ def order_key(seed: int, *columns: Column) -> Column:
 
 def mix(rows: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
     """Adds source_size, target, rate, whole and extra to groups of equal rows (source, size, n, k, ...) by the targets (source,
-    source_size, target): each of a group's n rows gets `whole` copies, `extra` of them one more. k is the groups' order.
+    source_size, target, lam): each of a group's n rows gets `whole` copies, `extra` of them one more. k is the groups' order.
 
     `rows` should be cheap to read again (a table). Joins with the sources are null-safe; below 100,000 sources their table is
     broadcast (its rows are counted first), beyond that the join is a shuffle, where AQE splits hot sources.
@@ -80,7 +101,8 @@ def mix(rows: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
     rows = rows.withColumn("_bucket", F.conv(F.substring("k", 1, 3), 16, 10).cast("int"))
     bounded = targets.limit(100_001).count() <= 100_000
     hint = F.broadcast if bounded else (lambda x: x)
-    rates = targets.withColumn("rate", F.least(F.lit(float(most)), newton_rate(F.col("target"), F.col("source_size").cast("double"))))
+    rate = F.when((F.col("source_size") > 0) & (F.col("target") > 0), F.least(F.lit(float(most)), F.exp("lam"))).otherwise(0.0)
+    rates = targets.select("source", "source_size", "target", rate.alias("rate"))
     rates = rates.withColumn("whole", F.floor(F.col("rate") + 1e-9).cast("long"))
     rates = materialize(rates.withColumn("_need", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))))
     # Level 1: the bucket in which the extra copies end.
@@ -104,9 +126,24 @@ def mix(rows: DataFrame, targets: DataFrame, most: float = 3.0) -> DataFrame:
 
 
 def by_weight(rows: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0) -> DataFrame:
-    """`mix` of groups of equal rows, targets by `targets_by_weight`."""
+    """`mix` of groups of equal rows, targets by `targets_by_weight`, rates by `balance`."""
     sources = rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    return mix(rows, materialize(targets_by_weight(sources, weights, most)), most)
+    targets = materialize(targets_by_weight(sources, weights, most))
+    lam = balance(rows, {"source": targets}, most)["source"]
+    both = targets.join(lam.select(F.col("source").alias("_s"), "lam"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    return mix(rows, materialize(both), most)
+
+
+def by_targets(rows: DataFrame, targets: dict[str, DataFrame], most: float = 3.0) -> DataFrame:
+    """`mix` of groups of equal rows (size, n, k, <set>...) to the targets of several overlapping sets of groups: documents of equal
+    memberships have one rate, so they are rounded together; source is their memberships as JSON."""
+    lam = balance(rows, targets, most)
+    cell = F.to_json(F.struct(*targets), {"ignoreNullFields": "false"})
+    small = {c: t.limit(100_001).count() <= 100_000 for c, t in targets.items()}
+    keyed = tilted(rows, lam, small).withColumn("source", cell)
+    cells = keyed.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.first("tilt").alias("lam"))
+    cells = cells.withColumn("target", F.least(F.lit(float(most)), F.exp("lam")) * F.col("source_size"))
+    return mix(keyed.drop("tilt"), materialize(cells), most)
 
 
 def mix_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: float = 3.0, seed: int = 7) -> DataFrame:

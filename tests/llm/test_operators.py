@@ -134,6 +134,37 @@ def test_mixing(docs, empty):
     assert mixing.mix_documents(empty).count() == 0
 
 
+def test_balance_meets_overlapping_targets(spark):
+    """Sources and languages at once: both margins are met, and rates are a product of one factor a group (the tilted solution)."""
+    rng = random.Random(6)
+    rows = [(i, f"s{rng.randrange(3)}" if i % 50 else None, ["en", "fr"][rng.random() < 0.3], rng.randint(1, 60)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, source string, lang string, size long").withColumns({"n": F.lit(1).cast("long"), "k": F.md5(F.col("id").cast("string").cast("binary"))})
+    total = sum(r[3] for r in rows)
+    words = Counter()
+    for _, s, x, n in rows:
+        words["s", s] += n
+        words["l", x] += n
+    shares = {"s0": 0.5, "s1": 0.2, "s2": 0.27, None: 0.03}
+    sources = spark.createDataFrame([(s, w * total) for s, w in shares.items()], "source string, target double")
+    languages = spark.createDataFrame([("en", 0.5 * total), ("fr", 0.5 * total)], "lang string, target double")
+    lam = mixing.balance(df, {"source": sources, "lang": languages})
+    factor = {("s", r.source): np.exp(r.lam) for r in lam["source"].collect()} | {("l", r.lang): np.exp(r.lam) for r in lam["lang"].collect()}
+    got = Counter()
+    for _, s, x, n in rows:
+        rate = factor["s", s] * factor["l", x]
+        got["s", s] += n * rate
+        got["l", x] += n * rate
+    assert all(abs(got["s", s] / total - w) < 1e-9 for s, w in shares.items()) and abs(got["l", "fr"] / total - 0.5) < 1e-9
+    out = mixing.by_targets(df, {"source": sources, "lang": languages}, most=9.0).collect()
+    taken = Counter()
+    for r in out:
+        copies = r.whole + (r.extra > 0)
+        assert copies <= np.ceil(r.rate)
+        taken["s", rows[r.id][1]] += copies * r.size
+        taken["l", rows[r.id][2]] += copies * r.size
+    assert len(out) == len(rows) and all(abs(taken["s", s] - w * total) <= 60 for s, w in shares.items()) and abs(taken["l", "en"] - 0.5 * total) <= 4 * 30
+
+
 def test_fingerprints(docs, empty):
     out = fingerprint.fingerprints(docs).collect()
     order = sorted(ROWS, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
