@@ -33,7 +33,7 @@ SCRIPTS = 12
 MOST_LANGUAGES = 256
 #: A script belongs to a language if at least this share of its training letters is in it.
 SCRIPT_SHARE = 0.001
-#: Words whose scores are held at once by a task (divided by the number of languages).
+#: Words whose scores are held at once by a task (divided by the number of languages; a third where their places are held, too).
 WORDS_HELD = 12_000_000
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -144,7 +144,7 @@ def _predictor(model, penalty: float, with_spans: bool, keep: list[str]):
         languages, logs, allowed = model.value
         rows_of: dict[str, int] = {}
         held: list[tuple] = []
-        room = max(1, WORDS_HELD // max(1, len(languages)))
+        room = max(1, WORDS_HELD // (3 if with_spans else 1) // max(1, len(languages)))
         table = np.zeros((0, len(languages)), np.float32)
         n_held = 0
 
