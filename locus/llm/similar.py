@@ -5,7 +5,7 @@ what blocks of a radius-4 search can find. Candidates therefore come from TABLES
 SimHash bits: pairs of a similarity s agree on a key with probability (1 - p(s)) ** KEY_BITS, hence the recall of `recall`
 (measured on random sets: 0.92 at 0.8, 0.98 at 0.85, all but a few of a thousand from 0.9 on). Inside
 a key's group the Gray-order index of `simhash` finds fingerprints of the first 64 bits within RADIUS bits; a group sends one link
-an item. Candidates reachable from one another make a cluster. A cluster's sets meet in blocks of bounded size, where candidate
+for each core, which is what the plain search within four bits joins. Candidates reachable from one another make a cluster. A cluster's sets meet in blocks of bounded size, where candidate
 pairs, nearest first, are verified unless already connected. A cluster of several blocks that one round over blocks leaves
 unconnected is compared again in all pairs of its blocks, between its components only.
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_batches, components, forest, group_starts, materialize, per_group, split_hot, spread
-from .simhash import gray_rank, links, majority, shingle_hashes
+from .simhash import gray_rank, links, majority, near_links, shingle_hashes
 
 #: Tables and bits of a key. More bits a key keep groups small in larger corpora and need more tables for the same recall.
 TABLES, KEY_BITS = 96, 18
@@ -158,25 +158,31 @@ def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     rows = materialize(texts.mapInArrow(_items(words, seed), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, tid long, item long, fp long, fp2 long"))
     items = materialize(rows.groupBy("item").agg(F.min("doc_id").alias("least"), F.min("tid").alias("tid"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")))
 
+    # Cores: fingerprints linked by steps of few bits. Candidates link cores, so that copies of one text, which meet in most of the
+    # tables, send few links of their own.
+    prints = items.select("fp").distinct()
+    cores = components(prints.select(F.col("fp").alias("id")), near_links(prints)).toDF("core_fp", "core")
+    items = materialize(items.join(cores, F.col("fp") == F.col("core_fp")).drop("core_fp"))
+
     # Candidates: a key that occurs once is dropped where its group meets; keys of very many items are cut into blocks.
-    keyed = items.select("item", "fp", "fp2").mapInArrow(_keys, "key long, item long, fp long")
+    keyed = items.select(F.col("core").alias("item"), "fp", "fp2").mapInArrow(_keys, "key long, item long, fp long")
     hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > MOST_ROWS)
     parts = materialize(hot.select("key", F.ceil(F.col("rows") / MOST_ROWS).cast("int").alias("parts")))
     if parts.isEmpty():
         split = keyed.withColumns({"block_lo": F.lit(0), "block_hi": F.lit(0)})
     else:
-        split = split_hot(keyed.withColumn("salt", F.xxhash64("item")), ["key"], "salt", MOST_ROWS).select("key", "item", "fp", "block_lo", "block_hi")
+        split = split_hot(keyed.withColumn("salt", F.xxhash64("fp")), ["key"], "salt", MOST_ROWS).select("key", "item", "fp", "block_lo", "block_hi")
     keys = ["key", "block_lo", "block_hi"]
     near = materialize(spread(split, *keys).mapInArrow(per_group(keys, _candidates), "a long, b long").distinct())
 
     # Clusters of candidates; only their texts move.
-    vertices = near.select(F.col("a").alias("id")).union(near.select("b")).distinct()
-    clusters = materialize(components(vertices, near).withColumnRenamed("component", "cluster"))
-    members = items.join(clusters, items["item"] == clusters["id"]).select("item", "tid", "fp", "cluster")
+    clusters = components(items.select(F.col("core").alias("id")).distinct(), near).toDF("core_id", "cluster")
+    members = materialize(items.join(clusters, F.col("core") == F.col("core_id")).select("item", "tid", "fp", "cluster"))
+    sized = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("cluster", F.ceil(F.col("n") / MOST_SETS).cast("int").alias("parts"))
+    members = materialize(members.join(sized, "cluster"))
     once = texts.groupBy("tid").agg(F.first("text").alias("text")).join(members.select("tid"), "tid", "left_semi")
     sets = once.mapInArrow(_sets(words, seed), "tid long, shingles array<long>")
-    sized = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / MOST_SETS).cast("int").alias("parts"))
-    held = materialize(members.join(sized, "cluster").join(sets, "tid").withColumn("salt", F.xxhash64("item")))
+    held = materialize(members.join(sets, "tid").withColumn("salt", F.xxhash64("item")))
     keys = ["cluster", "block_lo", "block_hi"]
 
     def verified(rows: DataFrame) -> DataFrame:
