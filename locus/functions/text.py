@@ -33,8 +33,8 @@ def words(text: Column, filler: tuple[str, ...] = (), shortest: int = 3) -> Colu
     return F.array_except(parts, F.array(*[F.lit(x) for x in filler])) if filler else F.array_distinct(parts)
 
 
-def claim_code(host: Column, salt: str) -> Column:
-    return F.concat(F.lit("kn-"), F.substring(F.sha2(F.concat(F.lit(salt), host), 256), 1, 6))
+def claim_code(host: Column, salt: str, prefix: str) -> Column:
+    return F.concat(F.lit(prefix), F.substring(F.sha2(F.concat(F.lit(salt), host), 256), 1, 6))
 
 
 def nick_key(name: Column) -> Column:

@@ -174,10 +174,10 @@ BLOCKED_HOSTS = f"WITH p AS (SELECT page_id, {HOST} AS host FROM pages) SELECT p
 
 def claim_codes(spark, d):
     hosts = host_counts(spark, d).select("host")
-    return hosts.select("host", T.claim_code(F.col("host"), "claim:").alias("code"))
+    return hosts.select("host", T.claim_code(F.col("host"), "claim:", "pl-").alias("code"))
 
 
-CLAIM_CODES = f"SELECT DISTINCT {HOST} AS host, 'kn-' || substr(sha256('claim:' || {HOST}), 1, 6) AS code FROM pages"
+CLAIM_CODES = f"SELECT DISTINCT {HOST} AS host, 'pl-' || substr(sha256('claim:' || {HOST}), 1, 6) AS code FROM pages"
 
 
 def shard_today(spark, d):

@@ -59,7 +59,7 @@ def test_lines(spark):
 
 def test_nick_and_code(spark):
     assert one(spark, "B00bies!!", T.nick_key) == "bobies"
-    assert len(one(spark, "a.com", lambda c: T.claim_code(c, "s:"))) == 9
+    assert len(one(spark, "a.com", lambda c: T.claim_code(c, "s:", "ab-"))) == 9
 
 
 def test_haversine(spark):
