@@ -19,11 +19,14 @@ _own_dirs: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's folder for checkpoints (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    """The cluster's folder for checkpoints (spark.checkpoint.dir); a temporary one only where that is unset in a local session, as in
+    tests."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set")
     if sc.applicationId not in _own_dirs:
         _own_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="locus-")
     return _own_dirs[sc.applicationId]
