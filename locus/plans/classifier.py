@@ -16,7 +16,8 @@ def verdicts(lines: DataFrame, key: str, terms: str, excluded: str, priced: str)
     in a text of 3 priced lines. All else is none. One shuffle: the window and the aggregation share the key's partitioning.
     """
     low = F.lower("line")
-    f = lines.select(key, "pos", (low.rlike(terms) & ~low.rlike(excluded)).alias("met"), line_key(F.col("line")).alias("line_key"), F.col("line").rlike(priced).alias("priced"), F.length("line").alias("len"))
+    met = low.rlike(terms) & ~low.rlike(excluded)
+    f = lines.select(key, "pos", met.alias("met"), F.when(met, line_key(F.col("line"))).alias("line_key"), F.col("line").rlike(priced).alias("priced"), F.length("line").alias("len"))
     next_two = Window.partitionBy(key).orderBy("pos").rowsBetween(0, 2)
     f = f.withColumn("dish", F.col("met") & ((F.col("len") <= 110) | F.col("priced"))).withColumn("near_price", F.bool_or("priced").over(next_two))
     g = f.groupBy(key).agg(F.size(F.collect_set(F.when(F.col("dish"), F.col("line_key")))).cast("bigint").alias("dishes"), F.count_if("priced").alias("priced"), F.count_if(F.col("dish") & F.col("near_price") & (F.col("len") <= 70)).alias("single"))
