@@ -298,7 +298,7 @@ def _resolve(length: int):
     return work
 
 
-def _remove(length: int, with_text: bool):
+def _remove(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_bytes, removed, spans, digests, texts = [], [], [], [], []
@@ -318,12 +318,10 @@ def _remove(length: int, with_text: bool):
                 removed.append(len(own) - len(kept))
                 spans.append(count)
                 digests.append(hashlib.sha256(raw).hexdigest())
-                if with_text:
-                    texts.append(raw.decode("utf-8", "ignore"))  # a cut may split a character: its rest goes
+                texts.append(raw.decode("utf-8", "ignore"))  # a cut may split a character: its rest goes
             counts = [pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string())]
             others = [c for c in batch.schema.names if c not in ("text", "runs")]
-            extra = [pa.array(texts, pa.string())] if with_text else []
-            yield pa.RecordBatch.from_arrays([*counts, *extra, *[batch.column(c) for c in others]], names=[*NEW, *(["text"] if with_text else []), *others])
+            yield pa.RecordBatch.from_arrays([*counts, pa.array(texts, pa.string()), *[batch.column(c) for c in others]], names=[*NEW, "text", *others])
 
     return run
 
@@ -366,11 +364,10 @@ def repeated_runs(rows: DataFrame, length: int = 400) -> DataFrame:
     return full.unionByName(whole).unionByName(crossed)
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = True) -> DataFrame:
-    """n_bytes, n_removed, n_spans, kept_sha256 of each row of docs (doc_id, text) beside doc_id; with_text: beside all columns of
-    docs, text being what is left (null becomes empty)."""
+def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
+    """n_bytes, n_removed, n_spans, kept_sha256 of each row of docs (doc_id, text) beside its columns, text being what is left (null
+    becomes empty)."""
     arrow_batches(docs.sparkSession)
-    docs = docs if with_text else docs.select("doc_id", "text")
     rows = docs.drop(*NEW, "rid", "runs").withColumn("rid", F.xxhash64("doc_id", "text"))
     found = repeated_runs(rows.select("doc_id", "rid", "text"), length)
     per_text = found.groupBy(F.col("doc_id").alias("of"), F.col("rid").alias("id")).agg(F.collect_list(F.struct("s", "e")).alias("runs"))
@@ -378,9 +375,10 @@ def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = True) -
     joined = rows.join(per_text, (F.col("rid") == F.col("_id")) & F.col("doc_id").eqNullSafe(F.col("_of")), "left").drop("_of", "_id", "rid")
     others = [c for c in joined.columns if c not in ("text", "runs")]
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    return joined.mapInArrow(_remove(length, with_text), f"n_bytes long, n_removed long, n_spans long, kept_sha256 string, {'text string, ' * with_text}{kinds}")
+    return joined.mapInArrow(_remove(length), f"n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string, {kinds}")
 
 
 def op6_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns, and text: what is left (a character that a cut splits goes as a whole from it, not from kept_sha256)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs, with_text=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text")
