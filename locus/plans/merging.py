@@ -155,7 +155,7 @@ SELECT host, CAST(count(*) FILTER (NOT found AND run = (SELECT max(run) FROM g q
 
 def token_clusters(spark, d):
     """Events of a visitor in clusters: a gap of over 6 hours begins a new one."""
-    e = activity(spark, d).select("device", (F.unix_seconds(F.col("ts").cast("timestamp")) / 3600).alias("hour"), "seq")
+    e = activity(spark, d).select("device", (F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(1e6) / 3600).alias("hour"), "seq")
     return sessions(e, "device", ["hour", "seq"], "hour", 6).groupBy("device").agg(F.max("cluster").alias("clusters"), F.count(F.lit(1)).alias("n"))
 
 
