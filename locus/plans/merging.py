@@ -209,7 +209,8 @@ def spot_order(spark, d):
     """The order of a city's spots: shops, halls, menus; those with hours first; by lower-cased name."""
     p = places(spark, d).withColumn("kind", chosen(F.col("id"), ["menu", "shop", "hall"])).withColumn("no_hours", F.col("id") % 4 == 0).withColumn("area", cell(F.col("lat"), 1))
     order = F.when(F.col("kind") == "shop", 0).when(F.col("kind") == "hall", 1).otherwise(2)
-    return L.top_per(p, ["area"], [order, "no_hours", F.lower("name"), "id"], 10_000, "place").select("id", "area", F.col("place").alias("position"))
+    by = Window.partitionBy("area").orderBy(order, "no_hours", F.lower("name"), "id")
+    return p.select("id", "area", F.row_number().over(by).alias("position"))
 
 
 SPOT_ORDER = f"WITH {PLACES} SELECT id, CAST(trunc(lat) AS INT) AS area, CAST(row_number() OVER (PARTITION BY CAST(trunc(lat) AS INT) ORDER BY CASE {chosen_sql('id', ['menu', 'shop', 'hall'])} WHEN 'shop' THEN 0 WHEN 'hall' THEN 1 ELSE 2 END, id % 4 = 0, lower(name), id) AS INT) AS position FROM places"

@@ -41,3 +41,9 @@ def test_clusters_at_parts_of_a_second(spark, equal):
     rows = [(i, t, 1, "view", '{"k": 1}', 1.0) for i, t in enumerate(times)]
     events = spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, props string, value double").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     assert [r[1] for r in equal("token_clusters", events=events)] == [3]
+
+
+def test_order_of_a_large_area(spark, equal):
+    """An area of over 10,000 spots has them all."""
+    rows = equal("spot_order", customer=customers(spark, 300_000), pages=pages(spark, 7), supplier=spark.range(1).select(F.col("id").alias("s_suppkey")))
+    assert len(rows) == 300_000 and max(r[2] for r in rows) > 10_000
