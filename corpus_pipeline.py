@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locus.llm.bpe import encode_decode
-from locus.llm.common import materialize
+from locus.llm.common import distilled, materialize
 from locus.llm.similar import near_texts
 from locus.llm.language_id import identify
 from locus.llm.mixing import repeat_documents
@@ -32,9 +32,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (SimHash candidates of Jaccard similarity 0.8 or more in five-word shingles)
     stays: the one with the smallest doc_id, among several texts under it the one with the smallest hash, among equal ones the one
     with the smallest lang, source and n_chars (nulls first). A row without doc_id stays only where its whole group has none."""
-    labelled = near_texts(docs, words=5)
-    first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tid")).alias("f"))
-    kept = materialize(first.select("f.*").distinct())
+
+    def firsts() -> DataFrame:
+        labelled = near_texts(docs, words=5)
+        first = labelled.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "tid")).alias("f"))
+        return first.select("f.*").distinct()
+
+    kept = distilled(spark, firsts)
     # Rows are counted down to one an id and text before the join, on its keys.
     keyed = docs.select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("text").alias("tid"), *COLUMNS)
     once = keyed.groupBy("none", "id", "tid").agg(F.min(F.struct("lang", "source", "n_chars")).alias("r"), F.first("text").alias("text"))

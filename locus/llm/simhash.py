@@ -74,9 +74,10 @@ def gray_rank(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def links(group: np.ndarray, fp: np.ndarray, most_bits: int, thin: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs of the same group that differ in at most most_bits bits; rows are sorted by (group, Gray rank). thin: when they
-    become many, only links that connect the same rows are kept."""
+def links(group: np.ndarray, fp: np.ndarray, most_bits: int, thin: bool = False, second: np.ndarray | None = None, most_both: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs of the same group that differ in at most most_bits bits, and with `second`, further 64 bits of each row, in at most
+    most_both of all; rows are sorted by (group, Gray rank). thin: when they become many, only links that connect the same rows are
+    kept."""
     n = len(fp)
     # Levels of nodes from the leaves up: first row, row after the last, shared pattern, shared mask, first child.
     bounds = group_starts(group)
@@ -121,6 +122,9 @@ def links(group: np.ndarray, fp: np.ndarray, most_bits: int, thin: bool = False)
             so_far = so_far + np.bitwise_count((fp[q] ^ pat[node]) & rest[node])
             go = (so_far <= most_bits) & (hi[node] > q + 1)
             q, node, so_far = q[go], node[go], so_far[go]
+        if second is not None:
+            go = so_far + np.bitwise_count(second[q] ^ second[node]) <= most_both
+            q, node = q[go], node[go]
         found_a.append(q)
         found_b.append(node)
         held += len(q)

@@ -4,8 +4,8 @@ At similarity 4/5 a SimHash bit differs with probability 0.152 (a cosine of 8/9)
 what blocks of a radius-4 search can find. Candidates therefore come from TABLES keys of KEY_BITS bits each, sampled from 128
 SimHash bits: pairs of a similarity s agree on a key with probability (1 - p(s)) ** KEY_BITS, hence the recall of `recall`
 (measured on random sets: 0.92 at 0.8, 0.98 at 0.85, all but a few of a thousand from 0.9 on). Inside
-a key's group the Gray-order index of `simhash` finds fingerprints of the first 64 bits within RADIUS bits; a group sends one link
-for each core, which is what the plain search within four bits joins. Candidates reachable from one another make a cluster. A cluster's sets meet in blocks of bounded size, where candidate
+a key's group the Gray-order index of `simhash` finds fingerprints of the first 64 bits within RADIUS bits, of which those stay that
+are within RADIUS_BOTH bits of all 128; a group sends one link for each core, which is what the plain search within four bits joins. Candidates reachable from one another make a cluster. A cluster's sets meet in blocks of bounded size, where candidate
 pairs, nearest first, are verified unless already connected. A cluster of several blocks that one round over blocks leaves
 unconnected is compared again in all pairs of its blocks, between its components only.
 
@@ -25,13 +25,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, components, forest, group_starts, materialize, per_group, split_hot, spread
+from .common import arrow_batches, components, distilled, forest, group_starts, materialize, per_group, split_hot, spread
 from .simhash import gray_rank, links, majority, near_links, shingle_hashes
 
 #: Tables and bits of a key. More bits a key keep groups small in larger corpora and need more tables for the same recall.
 TABLES, KEY_BITS = 96, 18
 #: Bits of the first 64 in which candidates may differ: the mean at similarity 4/5 is 9.7, the standard deviation 2.9.
 RADIUS = 16
+#: Bits of all 128 in which they may differ (mean 19.5, standard deviation 4.1). Of unrelated pairs with a key in common about one in
+#: 600 is within RADIUS, one in 200,000 within this: without it chains of unrelated texts make one cluster of a large corpus.
+RADIUS_BOTH = 32
 #: Rows of one part of a large group of fingerprints, and sets of one block of a cluster.
 MOST_ROWS, MOST_SETS = 20_000, 2_000
 SECOND = np.uint64(0x9E3779B97F4A7C15)
@@ -79,18 +82,19 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fp = np.stack([batch.column("fp").to_numpy(), batch.column("fp2").to_numpy()], axis=1)
         key = table_keys(np.ascontiguousarray(fp))
         n = key.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), pa.array(np.repeat(batch.column("item").to_numpy(), n)), pa.array(np.repeat(fp[:, 0], n))], names=["key", "item", "fp"])
+        yield pa.RecordBatch.from_arrays([pa.array(key.ravel()), *[pa.array(np.repeat(x, n)) for x in (batch.column("item").to_numpy(), fp[:, 0], fp[:, 1])]], names=["key", "item", "fp", "fp2"])
 
 
 def _candidates(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """One link an item to others of its group within RADIUS bits."""
+    """One link an item to others of its group within RADIUS bits of the first 64 and RADIUS_BOTH of all 128."""
     starts = group_starts(*(table[k].to_numpy() for k in ("key", "block_lo", "block_hi")))
     size = np.diff(starts)
     keep = np.repeat(size > 1, size)
-    group, fp, item = np.repeat(np.arange(len(size)), size)[keep], table["fp"].to_numpy().view(np.uint64)[keep], table["item"].to_numpy()[keep]
+    group, item = np.repeat(np.arange(len(size)), size)[keep], table["item"].to_numpy()[keep]
+    fp, fp2 = (table[k].to_numpy().view(np.uint64)[keep] for k in ("fp", "fp2"))
     order = np.lexsort((gray_rank(fp), group))
-    group, fp, item = group[order], fp[order], item[order]
-    a, b = links(group, fp, RADIUS, thin=True)
+    group, fp, fp2, item = group[order], fp[order], fp2[order], item[order]
+    a, b = links(group, fp, RADIUS, True, fp2, RADIUS_BOTH)
     if len(a):
         # A tree's links go to its smallest item, so that the links of one cluster's many groups are mostly the same.
         root = forest(a, b)
@@ -165,15 +169,18 @@ def near_texts(docs: DataFrame, words: int = 5, seed: int = 42) -> DataFrame:
     items = materialize(items.join(cores, F.col("fp") == F.col("core_fp")).drop("core_fp"))
 
     # Candidates: a key that occurs once is dropped where its group meets; keys of very many items are cut into blocks.
-    keyed = items.select(F.col("core").alias("item"), "fp", "fp2").mapInArrow(_keys, "key long, item long, fp long")
-    hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > MOST_ROWS)
-    parts = materialize(hot.select("key", F.ceil(F.col("rows") / MOST_ROWS).cast("int").alias("parts")))
-    if parts.isEmpty():
-        split = keyed.withColumns({"block_lo": F.lit(0), "block_hi": F.lit(0)})
-    else:
-        split = split_hot(keyed.withColumn("salt", F.xxhash64("fp")), ["key"], "salt", MOST_ROWS).select("key", "item", "fp", "block_lo", "block_hi")
-    keys = ["key", "block_lo", "block_hi"]
-    near = materialize(spread(split, *keys).mapInArrow(per_group(keys, _candidates), "a long, b long").distinct())
+    def candidates() -> DataFrame:
+        keyed = items.select(F.col("core").alias("item"), "fp", "fp2").mapInArrow(_keys, "key long, item long, fp long, fp2 long")
+        hot = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > MOST_ROWS)
+        parts = materialize(hot.select("key", F.ceil(F.col("rows") / MOST_ROWS).cast("int").alias("parts")))
+        keys = ["key", "block_lo", "block_hi"]
+        if parts.isEmpty():
+            split = keyed.withColumns({"block_lo": F.lit(0), "block_hi": F.lit(0)})
+        else:
+            split = split_hot(keyed.withColumn("salt", F.xxhash64("fp")), ["key"], "salt", MOST_ROWS).select(*keys, "item", "fp", "fp2")
+        return spread(split, *keys).mapInArrow(per_group(keys, _candidates), "a long, b long").distinct()
+
+    near = distilled(docs.sparkSession, candidates)
 
     # Clusters of candidates; only their texts move.
     clusters = components(items.select(F.col("core").alias("id")).distinct(), near).toDF("core_id", "cluster")

@@ -1,10 +1,13 @@
 """The pipeline's stages on the operators' fixture."""
 
 import random
+import shutil
 from collections import Counter
 
 import corpus_pipeline
-from locus.llm import mixing, similar
+import numpy as np
+import pyarrow as pa
+from locus.llm import common, mixing, similar
 from tests.llm.test_operators import CLASHES, ROWS, SCHEMA
 
 from pyspark.sql import functions as F
@@ -135,3 +138,31 @@ def test_repeated_passages_of_fifty_words(spark):
     out = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, spark.createDataFrame(rows, SCHEMA), "").collect()}
     for i, text, *_ in rows:
         assert (len(out[i]) <= len(text) - len(passage)) if i < 6 else out[i] == text
+
+
+def test_unrelated_texts_of_one_key_are_no_candidates():
+    """A key's group of a large corpus: chains of unrelated texts would make it one cluster. Pairs at similarity 0.8 stay linked."""
+    rng = np.random.default_rng(3)
+    fp = rng.integers(0, 1 << 63, (2_000, 2), dtype=np.uint64)
+    fp[:, 0] &= ~np.uint64(0x1FF)  # eighteen bits in common
+    fp[:, 1] &= ~np.uint64(0x1FF)
+    flips = np.array([sum(1 << int(b) for b in 10 + rng.choice(54, 10, replace=False)) for _ in range(400)], np.uint64).reshape(200, 2)
+    fp[:200] = fp[200:400] ^ flips  # twenty bits of each first 200 differ from the row 200 on
+    n = len(fp)
+    zero = pa.array(np.zeros(n, np.int64))
+    table = pa.table({"key": zero, "block_lo": zero, "block_hi": zero, "item": pa.array(np.arange(n)), "fp": pa.array(fp[:, 0].view(np.int64)), "fp2": pa.array(fp[:, 1].view(np.int64))})
+    found = [(r["a"], r["b"]) for batch in similar._candidates(table) for r in batch.to_pylist()]
+    root = common.forest(*(np.append(x, n - 1) for x in zip(*found, strict=True)))
+    assert (root[:200] == root[200:400]).all() and len(found) < 260
+
+
+def test_stages_leave_one_table(spark, tmp_path, monkeypatch):
+    """A stage's tables are gone once its result depends on one of them only."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: str(tmp_path))
+    text = "ein langer Absatz, der in zwei Texten steht und sich wiederholt " * 6
+    docs = spark.createDataFrame([(i, f"{' '.join(f'w{i}x{j}' for j in range(60))} {text}", "de", "a", 1) for i in range(8)], SCHEMA)
+    for stage in (corpus_pipeline.near_dedup, corpus_pipeline.repeated_passages):
+        out = stage(spark, docs, "")
+        assert len(list((tmp_path / "tables").iterdir())) == 1
+        assert out.count() == 8
+        shutil.rmtree(tmp_path / "tables")
