@@ -30,7 +30,8 @@ def grid_join(a: DataFrame, b: DataFrame, within_m: float, condition: Column | N
     """Pairs of a (lat, lon) and b (blat, blon) at most within_m apart that meet `condition`; how: inner, left_semi or left_anti.
 
     The side `b` is sent to the cells it can be reached from, so the join is an equi-join on cells and no cross join. At high
-    latitudes cells get narrow: as many columns are probed as the distance can span there.
+    latitudes cells get narrow: as many columns are probed as the distance can span there. It is a merge join: Spark takes a side's
+    size before its rows are multiplied by cells, and would gather it in the driver.
     """
     rows = math.ceil(within_m / (EARTH_M * math.pi / 180) * per_degree)
     a = a.withColumn("ci", cell(F.col("lat"), per_degree)).withColumn("cj", cell(F.col("lon"), per_degree))
@@ -38,7 +39,7 @@ def grid_join(a: DataFrame, b: DataFrame, within_m: float, condition: Column | N
     b = b.withColumn("bi", F.explode(F.sequence(cell(F.col("blat"), per_degree) - rows, cell(F.col("blat"), per_degree) + rows)))
     b = b.withColumn("bj", F.explode(F.sequence(cell(F.col("blon"), per_degree) - span, cell(F.col("blon"), per_degree) + span)))
     near = (F.col("ci") == F.col("bi")) & (F.col("cj") == F.col("bj")) & (haversine(F.col("lat"), F.col("lon"), F.col("blat"), F.col("blon")) <= within_m)
-    return a.join(b, near if condition is None else near & condition, how).drop("ci", "cj", "bi", "bj")
+    return a.join(b.hint("merge"), near if condition is None else near & condition, how).drop("ci", "cj", "bi", "bj")
 
 
 def nearest(pairs: DataFrame, key: str, distance: str, tie: str, most: int) -> DataFrame:

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from locus.functions.geo import grid_join
 
 
 @pytest.fixture
@@ -47,3 +48,15 @@ def test_order_of_a_large_area(spark, equal):
     """An area of over 10,000 spots has them all."""
     rows = equal("spot_order", customer=customers(spark, 300_000), pages=pages(spark, 7), supplier=spark.range(1).select(F.col("id").alias("s_suppkey")))
     assert len(rows) == 300_000 and max(r[2] for r in rows) > 10_000
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_grid_joins_gather_nothing_in_the_driver(spark, tmp_path):
+    """A side that is small on disk is large once it is sent to all its cells."""
+    spark.range(50).select("id", *[(F.col("id") / 1000).alias(c) for c in ("lat", "lon")]).write.parquet(f"{tmp_path}/p")
+    p = spark.read.parquet(f"{tmp_path}/p")
+    for how in ("inner", "left_anti"):
+        assert "Broadcast" not in plan(grid_join(p, p.select(F.col("id").alias("bid"), F.col("lat").alias("blat"), F.col("lon").alias("blon")), 150, how=how))
