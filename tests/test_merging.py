@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from locus.functions.geo import grid_join
+from locus.sources.adapters import written
 
 
 @pytest.fixture
@@ -60,3 +61,9 @@ def test_grid_joins_gather_nothing_in_the_driver(spark, tmp_path):
     p = spark.read.parquet(f"{tmp_path}/p")
     for how in ("inner", "left_anti"):
         assert "Broadcast" not in plan(grid_join(p, p.select(F.col("id").alias("bid"), F.col("lat").alias("blat"), F.col("lon").alias("blon")), 150, how=how))
+
+
+def test_written_tables_are_not_gathered_in_the_driver(spark):
+    a, b = written(spark.range(9)), written(spark.range(5))
+    assert "Broadcast" not in plan(a.join(b, "id")) + plan(a.join(b.distinct(), "id", "left_anti"))
+    assert a.join(b, "id", "left_anti").count() == 4
