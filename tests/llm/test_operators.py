@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -395,6 +396,49 @@ def test_cover_ranks_against_plain_comparison(length):
         assert got.any() and not got.all()
 
 
+def test_memory_of_a_block(monkeypatch):
+    """A block of 2,000 runs that share half their bytes is sorted, and hashed, in less than 60 bytes a byte."""
+    rng = np.random.default_rng(8)
+    rows = rng.integers(97, 123, (2000, 799), dtype=np.uint8)
+    rows[:, 200:400] = rows[0, 200:400]
+    offsets = np.arange(2001) * 799
+    table = pa.table({"doc_id": np.arange(2000), "rid": np.arange(2000), "s": np.zeros(2000, np.int32), "alone": np.ones(2000, bool), "bucket": np.zeros(2000, np.int64), "block": np.zeros(2000, np.int32), "blocks": np.full(2000, 2, np.int32), "string": pa.array([r.tobytes() for r in rows], pa.binary())})
+    data = rows.ravel()
+    starts, _ = suffix_dedup.valid_starts(0, len(data), offsets, 400)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1 << 16)
+    tracemalloc.start()
+    try:
+        assert not suffix_dedup.repeated_suffixes(data, starts, np.zeros(len(starts), np.int64), 400).any()
+        sorting = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        out = pa.Table.from_batches(suffix_dedup._resolve(400)(table))
+        whole = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorting < 60 * len(data) and whole < 80 * len(data)
+    h = suffix_dedup.string_hashes(data, 400)[0][starts].view(np.int64)
+    assert out.num_rows == len(starts) and sorted(out["suffix"].to_pylist()) == sorted(h.tolist())
+
+
+def test_blocks_of_one_text(spark, monkeypatch):
+    """The runs of one text are cut into blocks too: a passage that it repeats 600 times, each time with its own neighbours."""
+    rng = np.random.default_rng(6)
+    own = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+    passage = own(300)
+    text = "".join(own(300) + passage for _ in range(600))
+    sizes, spread = [], suffix_dedup.spread
+
+    def counted(df, *keys):
+        sizes.append(df.groupBy(*keys).count().agg(F.max("count"), F.countDistinct(*keys)).first())
+        return spread(df, *keys)
+
+    monkeypatch.setattr(suffix_dedup, "MOST_ROWS", 50)
+    monkeypatch.setattr(suffix_dedup, "spread", counted)
+    out = suffix_dedup.remove_repeats(spark.createDataFrame([(1, text), (2, own(2000)), (3, text[-1000:])], "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed) for r in out} == {1: (360_000, 1000), 2: (2000, 0), 3: (1000, 1000)}
+    assert sizes[0][0] <= 2 * 50 and sizes[0][1] >= 12
+
+
 def test_difference_cover():
     for period in (7, 31, 32, 64):
         cover = suffix_dedup.difference_cover(period)
